@@ -55,7 +55,7 @@ def elasticnet_rank(panel: DataFrame, variables: Sequence[str], ratios: Sequence
 
 def _fit_trees(rows: DataFrame, settings: Settings, **extra):
     """Boosted trees over the pooled rows (columns features, label)."""
-    params = dict(maxIter=settings.n_trees, maxDepth=4, stepSize=0.05, subsamplingRate=0.8,
+    params = dict(maxIter=settings.n_trees, maxDepth=4, stepSize=0.1, subsamplingRate=0.8, checkpointInterval=-1,
                   featureSubsetStrategy="0.8", seed=settings.seed)
     return GBTRegressor(featuresCol="features", labelCol="label", **{**params, **extra}).fit(rows)
 

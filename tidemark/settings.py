@@ -47,7 +47,7 @@ class Settings:
     flat_ratio: float = 0.05
     jump_ratio: float = 0.5
     mi_bins: int = 5
-    n_trees: int = 40
+    n_trees: int = 20
     models: tuple[str, ...] = MODEL_ORDER
     seed: int = 42
 
