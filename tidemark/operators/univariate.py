@@ -111,7 +111,7 @@ def _autocovariance(y: str, m: int) -> tuple[Column, Column]:
     return d, lags
 
 
-def theta_forecast(arrays: DataFrame, freq: str, name: str = "theta") -> DataFrame:
+def theta_forecast(arrays: DataFrame, freq: str, name: str = "theta", keep_alpha: bool = False) -> DataFrame:
     """Adds the theta path: smoothing of the deseasonalised history plus half its linear trend.
 
     The season is removed when two seasons exist and the autocorrelation test finds
@@ -188,7 +188,10 @@ def theta_forecast(arrays: DataFrame, freq: str, name: str = "theta") -> DataFra
         return F.when(~F.col("_seasonal"), base).when(F.col("_mult"), base * s).otherwise(base + s)
 
     df = df.withColumn(name, F.transform(F.sequence(F.lit(1), F.greatest("horizon", F.lit(1))), point))
-    return df.withColumn(name, F.when(F.col("horizon") > 0, F.col(name))).drop(*[c for c in df.columns if c.startswith("_") and c not in arrays.columns])
+    df = df.withColumn(name, F.when(F.col("horizon") > 0, F.col(name)))
+    if keep_alpha:
+        df = df.withColumn(f"{name}_alpha", a)
+    return df.drop(*[c for c in df.columns if c.startswith("_") and c not in arrays.columns])
 
 
 def _lagged_sums(w: np.ndarray, max_p: int, m: int, seasonal: bool) -> np.ndarray:

@@ -22,7 +22,7 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def wide_series(raw: DataFrame, date_col: str, target_col: str, tiebreak: str,
-                series: Column | None = None) -> DataFrame:
+                series: str | None = None) -> DataFrame:
     """Date + target + driver columns as (series_id, ts, target, drivers); first row per timestamp.
 
     Duplicates are resolved by an aggregate, so a timestamp with very many rows is
@@ -35,11 +35,10 @@ def wide_series(raw: DataFrame, date_col: str, target_col: str, tiebreak: str,
             raise ValueError(f"column {needed!r} not found")
     if target_col != "target" and "target" in raw.columns:
         raise ValueError("a driver column is already called 'target'")
-    drivers = [c for c in raw.columns if c not in (date_col, target_col, tiebreak, "series_id")]
-    if series is None:
-        series = F.col("series_id") if "series_id" in raw.columns else F.lit("Sample Series")
+    series = series or ("series_id" if "series_id" in raw.columns else None)
+    drivers = [c for c in raw.columns if c not in (date_col, target_col, tiebreak, series)]
     named = raw.select(
-        series.alias("series_id"),
+        (F.col(series) if series else F.lit("Sample Series")).cast("string").alias("series_id"),
         F.col(date_col).cast("timestamp_ntz").alias("ts"),
         F.col(tiebreak).alias("_order"),
         F.col(target_col).cast("double").alias("target"),
