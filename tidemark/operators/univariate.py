@@ -223,7 +223,7 @@ def _best_order(full: np.ndarray, max_p: int, seasonal: bool, intercept: bool):
 
 
 def _ar_udf(m: int, max_p: int, max_d: int):
-    @F.pandas_udf("struct<p:int,d:int,P:int,D:int,aic:double,intercept:double,phi:array<double>>")
+    @F.pandas_udf("struct<p:int,d:int,seasonal_p:int,seasonal_d:int,aic:double,intercept:double,phi:array<double>>")
     def choose(ys: pd.Series) -> pd.DataFrame:
         out = []
         for y in ys:
@@ -249,7 +249,7 @@ def _ar_udf(m: int, max_p: int, max_d: int):
             if big:
                 poly = np.convolve(poly, np.r_[1, np.zeros(m - 1), -1])
             out.append((p, d, s, big, aic, b[0], -poly[1:] if len(poly) > 1 else np.zeros(1)))
-        return pd.DataFrame(out, columns=["p", "d", "P", "D", "aic", "intercept", "phi"])
+        return pd.DataFrame(out, columns=["p", "d", "seasonal_p", "seasonal_d", "aic", "intercept", "phi"])
 
     return choose
 
