@@ -241,7 +241,7 @@ def test_smoothing_follows_a_clean_path(spark):
     want = [10 + 0.5 * t + 3 * np.sin(2 * np.pi * t / 12) for t in range(72, 84)]
     ets = U.ets_forecast(df, "M").first()["ets"]["path"]
     ar = U.ar_search_forecast(df, "M").first()["arima"]
-    theta = U.theta_forecast(df, "M").first()["theta"]
+    theta = U.theta_forecast(df, "M").first()["theta"]["path"]
     assert np.abs(np.array(ets) - want).max() < 1.5
     assert np.abs(np.array(ar) - want).max() < 0.5
     assert np.abs(np.array(theta) - want).max() < 6

@@ -514,8 +514,8 @@ JOIN (SELECT DISTINCT series_id, variable, mult FROM obs) o ON o.series_id = b.s
 LEFT JOIN slots s ON s.series_id = b.series_id AND s.variable = b.variable AND s.slot = (b.n + step - 1) % 12""", "ses_best slots seasonal")
 def _(spark, sf):
     a = _arrays(spark, sf)
-    t = U.theta_forecast(a, "M", keep_alpha=True)
-    rows = t.select("series_id", "variable", F.col("theta_alpha").alias("alpha"), F.posexplode("theta").alias("step", "yhat"))
+    t = U.theta_forecast(a, "M")
+    rows = t.select("series_id", "variable", F.col("theta.alpha").alias("alpha"), F.posexplode("theta.path").alias("step", "yhat"))
     return rows.withColumn("step", F.col("step") + 1)
 
 

@@ -77,7 +77,7 @@ def forecast_univariate(centered: DataFrame, folds: DataFrame, future: DataFrame
     if "holtwinters" in models:
         parts.append(_rows(ets_forecast(arrays, freq).withColumn("_path", F.col("ets.path")), "_path", "holtwinters"))
     if "theta" in models:
-        parts.append(_rows(theta_forecast(arrays, freq), "theta", "theta"))
+        parts.append(_rows(theta_forecast(arrays, freq).withColumn("_path", F.col("theta.path")), "_path", "theta"))
     if "fourier_trend" in models:
         parts.append(_rows(fourier_trend(arrays, freq), "fourier_trend", "fourier_trend"))
     out = parts[0]

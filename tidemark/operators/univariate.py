@@ -96,102 +96,70 @@ def ets_forecast(arrays: DataFrame, freq: str, name: str = "ets") -> DataFrame:
     return arrays.withColumn(name, _ets_udf(freq_params(freq)["season"])("y", "horizon"))
 
 
-def _autocovariance(y: str, m: int) -> tuple[Column, Column]:
-    """Deviations from the mean, and from column ``_dev`` their lagged products at lags 0..m."""
-    total = F.aggregate(y, F.lit(0.0), lambda a, v: a + v)
-    mean = total / F.size(y)
-    d = F.transform(y, lambda v: v - mean)
+def _season_index(y: np.ndarray, m: int) -> tuple[np.ndarray | None, bool]:
+    """Seasonal index of a path and whether it multiplies; None when the test finds no season.
 
-    def acf_sum(dev: Column, k: Column) -> Column:
-        n = F.size(dev)
-        pairs = F.zip_with(F.slice(dev, k + 1, n - k), F.slice(dev, F.lit(1), n - k), lambda p, q: p * q)
-        return F.aggregate(pairs, F.lit(0.0), lambda a, v: a + v)
+    The autocorrelation at one season must exceed its 90 % bound; the index comes from
+    ratios to (or differences from) a centred moving average over one season.
+    """
+    n, positive = len(y), bool(y.min() > 0)
+    dev = y - y.mean()
+    total = dev @ dev
+    if m < 2 or n < 2 * m or total <= 0:
+        return None, positive
+    r = np.array([dev[k:] @ dev[:n - k] for k in range(1, m + 1)]) / total
+    if abs(r[-1]) <= SEASON_TEST * np.sqrt((1 + 2 * (r[:-1] ** 2).sum()) / n):
+        return None, positive
+    half = m // 2
+    weights = np.r_[0.5, np.ones(m - 1), 0.5] / m
+    trend = np.convolve(y, weights, "valid")
+    inner = y[half:n - half]
+    ratio = inner / trend if positive else inner - trend
+    slot = np.arange(half, n - half) % m
+    raw = np.bincount(slot, ratio, m) / np.bincount(slot, minlength=m)
+    return (raw / raw.mean() if positive else raw - raw.mean()), positive
+
+
+def _theta_udf(m: int):
+    alphas = np.arange(1, 50) / 50.0
+
+    @F.pandas_udf("struct<alpha:double,path:array<double>>")
+    def theta(ys: pd.Series, horizons: pd.Series) -> pd.DataFrame:
+        out = []
+        for y, h in zip(ys, horizons):
+            y = np.asarray(y, dtype=float)
+            n = len(y)
+            if n == 0:
+                out.append((None, None))
+                continue
+            index, positive = _season_index(y, m)
+            slots = np.arange(n) % m
+            d = y if index is None else (y / index[slots] if positive else y - index[slots])
+            t = np.arange(n) - (n - 1) / 2
+            slope = t @ d / (t @ t) if n > 1 else 0.0
+            level, sse = np.full(len(alphas), d[0]), np.zeros(len(alphas))
+            for v in d[1:]:
+                sse += (v - level) ** 2
+                level = level + alphas * (v - level)
+            k = int(np.argmin(sse))
+            a, steps = alphas[k], np.arange(1, int(h) + 1)
+            path = level[k] + slope / 2 * (steps - 1 + 1 / a - (1 - a) ** n / a)
+            if index is not None:
+                s = index[(n + steps - 1) % m]
+                path = path * s if positive else path + s
+            out.append((a, path))
+        return pd.DataFrame(out, columns=["alpha", "path"])
 
-    lags = F.transform(F.sequence(F.lit(0), F.lit(m)), lambda k: acf_sum(F.col("_dev"), k))
-    return d, lags
+    return theta
 
 
-def theta_forecast(arrays: DataFrame, freq: str, name: str = "theta", keep_alpha: bool = False) -> DataFrame:
-    """Adds the theta path: smoothing of the deseasonalised history plus half its linear trend.
+def theta_forecast(arrays: DataFrame, freq: str, name: str = "theta") -> DataFrame:
+    """Adds a struct column: the smoothing constant and the theta path.
 
-    The season is removed when two seasons exist and the autocorrelation test finds
-    one: multiplicative for positive data, else additive. All steps are built-in array
-    functions.
+    Smoothing of the deseasonalised history plus half its linear trend; positive data are
+    treated multiplicatively.
     """
-    m = freq_params(freq)["season"]
-    df = arrays.withColumn("_n", F.size("y")).filter("_n > 0")
-    if m >= 2:
-        dev, lags = _autocovariance("y", m)
-        df = df.withColumn("_dev", dev).withColumn("_acf", lags)
-        r = F.transform(F.slice("_acf", 2, m), lambda s: s / F.col("_acf")[0])
-        before = F.aggregate(F.slice(F.col("_r"), 1, m - 1), F.lit(0.0), lambda a, v: a + v * v)
-        bound = SEASON_TEST * F.sqrt((1 + 2 * before) / F.col("_n"))
-        df = df.withColumn("_r", r)
-        seasonal = (F.col("_n") >= 2 * m) & (F.col("_acf")[0] > 0) & (F.abs(F.element_at("_r", m)) > bound)
-        df = df.withColumn("_seasonal", F.coalesce(seasonal, F.lit(False))).withColumn(
-            "_mult", F.array_min("y") > 0)
-        half = m // 2
-
-        def moving(i: Column) -> Column:
-            """Centred average over one season with half weights at both ends (0-based i)."""
-            inner = F.aggregate(F.slice("y", i - half + 2, m - 1), F.lit(0.0), lambda a, v: a + v)
-            return (inner + (F.col("y")[i - half] + F.col("y")[i + half]) / 2) / m
-
-        def ratio(i: Column) -> Column:
-            y = F.col("y")[i]
-            return F.when(F.col("_mult"), y / moving(i)).otherwise(y - moving(i))
-
-        inside = F.transform(F.sequence(F.lit(half), F.col("_n") - half - 1), lambda i: F.struct(
-            (i % m).alias("slot"), ratio(i).alias("v")))
-        df = df.withColumn("_ratios", F.when(F.col("_seasonal"), inside))
-
-        def slot_mean(s: Column) -> Column:
-            own = F.filter("_ratios", lambda r: r["slot"] == s)
-            return F.aggregate(own, F.lit(0.0), lambda a, r: a + r["v"]) / F.size(own)
-
-        df = df.withColumn("_raw", F.transform(F.sequence(F.lit(0), F.lit(m - 1)), slot_mean))
-        level = F.aggregate("_raw", F.lit(0.0), lambda a, v: a + v) / m
-        df = df.withColumn("_level", level)
-        index = F.transform("_raw", lambda v: F.when(F.col("_mult"), v / F.col("_level")).otherwise(v - F.col("_level")))
-        df = df.withColumn("_season", F.when(F.col("_seasonal"), index))
-        adjusted = F.transform("y", lambda v, i: F.when(F.col("_mult"), v / F.col("_season")[i % m]).otherwise(
-            v - F.col("_season")[i % m]))
-        df = df.withColumn("_d", F.when(F.col("_seasonal"), adjusted).otherwise(F.col("y")))
-    else:
-        df = df.withColumns({"_seasonal": F.lit(False), "_mult": F.lit(False), "_d": F.col("y"),
-                             "_season": F.lit(None).cast("array<double>")})
-    n = F.col("_n")
-    sum_d = F.aggregate("_d", F.lit(0.0), lambda a, v: a + v)
-    sum_td = F.aggregate(F.transform("_d", lambda v, i: v * i), F.lit(0.0), lambda a, v: a + v)
-    slope = (n * sum_td - sum_d * n * (n - 1) / 2) / (n * (n * n - 1) * n / 12)
-    df = df.withColumn("_slope", F.when(n > 1, slope).otherwise(0.0))
-    state = "struct<level:double,sse:double>"
-
-    def smoothed(alpha: Column) -> Column:
-        start = F.struct(F.col("_d")[0].alias("level"), F.lit(0.0).alias("sse")).cast(state)
-        return F.aggregate(F.slice("_d", F.lit(2), F.size("_d")), start, lambda s, v: F.struct(
-            (s["level"] + alpha * (v - s["level"])).alias("level"),
-            (s["sse"] + (v - s["level"]) * (v - s["level"])).alias("sse")))
-
-    alphas = F.transform(F.sequence(F.lit(1), F.lit(49)), lambda k: k / 50.0)
-
-    def candidate(a: Column) -> Column:
-        s = smoothed(a)
-        return F.transform(F.array(s), lambda r: F.struct(r["sse"].alias("sse"), a.alias("alpha"), r["level"].alias("level")))[0]
-
-    df = df.withColumn("_best", F.array_min(F.transform(alphas, candidate)))
-    a = F.col("_best.alpha")
-
-    def point(k: Column) -> Column:
-        base = F.col("_best.level") + F.col("_slope") / 2 * (k - 1 + 1 / a - F.pow(1 - a, n) / a)
-        s = F.col("_season")[(n + k - 1) % m]
-        return F.when(~F.col("_seasonal"), base).when(F.col("_mult"), base * s).otherwise(base + s)
-
-    df = df.withColumn(name, F.transform(F.sequence(F.lit(1), F.greatest("horizon", F.lit(1))), point))
-    df = df.withColumn(name, F.when(F.col("horizon") > 0, F.col(name)))
-    if keep_alpha:
-        df = df.withColumn(f"{name}_alpha", a)
-    return df.drop(*[c for c in df.columns if c.startswith("_") and c not in arrays.columns])
+    return arrays.withColumn(name, _theta_udf(freq_params(freq)["season"])("y", "horizon"))
 
 
 def _lagged_sums(w: np.ndarray, max_p: int, m: int, seasonal: bool) -> np.ndarray:
@@ -272,7 +240,7 @@ def ar_search_forecast(arrays: DataFrame, freq: str, name: str = "arima") -> Dat
 def driver_models(arrays: DataFrame, freq: str, keys: Sequence[str]) -> DataFrame:
     """All three models: (keys, model, step, period, yhat). ``last_period`` anchors step 0."""
     df = theta_forecast(ets_forecast(ar_search_forecast(arrays, freq), freq), freq)
-    paths = F.create_map(F.lit("ets"), F.col("ets.path"), F.lit("arima"), F.col("arima"), F.lit("theta"), F.col("theta"))
+    paths = F.create_map(F.lit("ets"), F.col("ets.path"), F.lit("arima"), F.col("arima"), F.lit("theta"), F.col("theta.path"))
     rows = df.select(*keys, "last_period", F.explode(paths).alias("model", "path"))
     rows = rows.select(*keys, "last_period", "model", F.posexplode("path").alias("pos", "yhat"))
     step = (F.col("pos") + 1).cast("bigint")
