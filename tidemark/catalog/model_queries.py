@@ -659,3 +659,20 @@ def _(spark, sf):
                     F.struct(F.lit("theta").alias("model"), F.lit(2).alias("model_rank"), F.lit(0.4).alias("weight")))
     chosen = p.select("series_id").distinct().select("series_id", F.inline(ranks))
     return run_future_forecast(p, DRIVERS, chosen, settings=JOB_SETTINGS)["forecast_table"]
+
+
+@query("percent_error", "series_id fold:i model step:i pe:6", """
+SELECT *, abs(actual - yhat) / actual * 100 AS pe FROM scored WHERE actual <> 0""", "scored")
+def _(spark, sf):
+    from tidemark.functions.scores import percent_error
+
+    return _scored(spark, sf).withColumn("pe", percent_error(F.col("actual"), F.col("yhat"))).filter("pe IS NOT NULL")
+
+
+@query("finite_nonzero_mask", "series_id variable model n:i", """
+SELECT series_id, variable, model, count(*) AS n FROM drv WHERE actual <> 0 AND yhat IS NOT NULL GROUP BY 1, 2, 3""", "drv")
+def _(spark, sf):
+    from tidemark.functions.scores import driver_ape
+
+    rows = _driver_forecasts(spark, sf).withColumn("ape", driver_ape(F.col("actual"), F.col("yhat"))).filter("ape IS NOT NULL")
+    return rows.groupBy("series_id", "variable", "model").agg(F.count(F.lit(1)).alias("n"))
