@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +60,19 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     following groupBy on the same keys reuses the partitioning.
     """
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers once per context, so that they can import it from any folder."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    top = Path(__file__).resolve().parent
+    if top.parent.suffix != ".zip":
+        held = tempfile.mkdtemp(prefix="tidemark-package-")
+        archive = Path(held) / f"tidemark-{uuid.uuid4().hex}.zip"
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+            for source in sorted(top.rglob("*.py")):
+                out.write(source, source.relative_to(top.parent).as_posix())
+        context.addPyFile(str(archive))
+    context._tidemark_shipped = True
