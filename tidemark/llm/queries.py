@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe
+from tidemark.llm import byte_bpe, chat, sharding, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_exact_top_k": top_k.query,
+    "op6_sharding": sharding.query,
     "op7_byte_bpe": byte_bpe.query,
+    "op9_chat_format": chat.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_exact_top_k": top_k.SQL,
+    "op9_chat_format": chat.SQL,
+}
