@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, chat, sharding, top_k
+from tidemark.llm import byte_bpe, chat, decontaminate, sharding, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontaminate": decontaminate.query,
     "op4_exact_top_k": top_k.query,
     "op6_sharding": sharding.query,
     "op7_byte_bpe": byte_bpe.query,
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_decontaminate": decontaminate.SQL,
     "op4_exact_top_k": top_k.SQL,
     "op9_chat_format": chat.SQL,
 }
