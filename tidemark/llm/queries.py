@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, chat, decontaminate, sharding, top_k
+from tidemark.llm import byte_bpe, chat, decontaminate, language, sharding, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": decontaminate.query,
     "op4_exact_top_k": top_k.query,
+    "op5_language_id": language.query,
     "op6_sharding": sharding.query,
     "op7_byte_bpe": byte_bpe.query,
     "op9_chat_format": chat.query,
