@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, chat, decontaminate, language, sharding, top_k
+from tidemark.llm import byte_bpe, chat, decontaminate, jaccard_join, language, sharding, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard_join": jaccard_join.query,
     "op3_decontaminate": decontaminate.query,
     "op4_exact_top_k": top_k.query,
     "op5_language_id": language.query,
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_jaccard_join": jaccard_join.SQL,
     "op3_decontaminate": decontaminate.SQL,
     "op4_exact_top_k": top_k.SQL,
     "op9_chat_format": chat.SQL,
