@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, chat, decontaminate, jaccard_join, language, sharding, top_k
+from tidemark.llm import byte_bpe, chat, decontaminate, jaccard_join, language, sharding, suffix_dedup, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": jaccard_join.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": language.query,
     "op6_sharding": sharding.query,
     "op7_byte_bpe": byte_bpe.query,
+    "op8_suffix_dedup": suffix_dedup.query,
     "op9_chat_format": chat.query,
 }
 
