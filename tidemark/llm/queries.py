@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, chat, decontaminate, jaccard_join, language, sharding, suffix_dedup, top_k
+from tidemark.llm import byte_bpe, chat, decontaminate, jaccard_join, language, pitman_yor, sharding, suffix_dedup, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": jaccard_join.query,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_byte_bpe": byte_bpe.query,
     "op8_suffix_dedup": suffix_dedup.query,
     "op9_chat_format": chat.query,
+    "op10_pitman_yor": pitman_yor.query,
 }
 
 SQL: dict[str, str] = {
