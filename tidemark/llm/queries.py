@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, chat, decontaminate, jaccard_join, language, pitman_yor, sharding, suffix_dedup, top_k
+from tidemark.llm import byte_bpe, chat, decontaminate, importance, jaccard_join, language, pitman_yor, sharding, suffix_dedup, top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance": importance.query,
     "op2_jaccard_join": jaccard_join.query,
     "op3_decontaminate": decontaminate.query,
     "op4_exact_top_k": top_k.query,
