@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -71,10 +71,58 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/documents.parquet")
-
-
 def bucket_of(column: str, divisor: int):
     """crc32 of the id as text, modulo the divisor; null ids have none."""
     return F.crc32(F.col(column).cast("string")) % divisor
+
+
+FILTER_BITS = 27
+
+
+def bitmap(values: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of whole numbers, 16 bits for each up to a fixed 2**FILTER_BITS bits: no number is ever missed."""
+    bits = min(FILTER_BITS, max(15, (16 * values.count()).bit_length()))
+    place = F.pmod(F.col(column), F.lit(1 << bits)) + 1
+    found = values.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for bucket, piece in found:
+        if bucket is not None:
+            out[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(piece, np.uint8)
+    return out
+
+
+def in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    place = values & (len(bits) * 8 - 1)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def rows_in_bitmap(shared, column: str, inside: bool):
+    """Keeps the rows whose number is (or is not) in a broadcast bitmap; nulls are not."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(column)
+            hit = in_bitmap(shared.value, own.fill_null(0).to_numpy()) & own.is_valid().to_numpy(zero_copy_only=False)
+            chosen = batch.filter(pa.array(hit == inside))
+            if len(chosen):
+                yield chosen
+
+    return run
+
+
+def without(rows: DataFrame, key: Column, removed: DataFrame, once: bool = False) -> DataFrame:
+    """The rows whose key is not among the numbers in the one column of ``removed``; null keys stay.
+
+    Only rows that a bitmap of fixed size can't rule out are shuffled. ``once``: of rows with an equal key among
+    those, one stays.
+    """
+    columns = rows.columns
+    removed = removed.toDF("removed_key").where("removed_key IS NOT NULL").distinct()
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap(removed, "removed_key"))
+    keyed = rows.select(key.cast("long").alias("row_key"), F.struct(*(rows[c] for c in columns)).alias("row"))
+    rest = keyed.mapInArrow(rows_in_bitmap(shared, "row_key", False), keyed.schema)
+    maybe = keyed.mapInArrow(rows_in_bitmap(shared, "row_key", True), keyed.schema)
+    stay = maybe.join(removed, F.col("row_key") == F.col("removed_key"), "left_anti")
+    if once:
+        stay = stay.dropDuplicates(["row_key"])
+    return rest.unionByName(stay).select("row.*")

@@ -7,8 +7,8 @@ separately and summed per pair. A pair links if the sum reaches the threshold, e
 
 Which pairs are counted:
 
-1. *Hubs.* Sets with an equal min-hash meet in a group; each is paired with the group's first set only. That is linear
-   in the size of every group and already joins nearly all copies to components.
+1. *Hubs.* Sets with an equal min-hash meet in a group; each is paired with the group's first set only, and of
+   these pairs a set keeps the HUBS likeliest. That is linear in the size of every group and joins nearly all copies to components.
 2. *The rest, exactly.* Two linked sets share an n-gram among their first ones in the global order (rare n-grams
    first, by a counting sketch of fixed size; then by hash). Only pairs of sets that step 1 left in different components
    are taken, with the usual bounds on sizes and positions. Inside a shared n-gram the sets of one component are first
@@ -31,15 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import kept, lists, tasks, text_chunks
+from tidemark.llm.arrow import bitmap, in_bitmap, kept, lists, rows_in_bitmap, text_chunks
 from tidemark.llm.components import components
 from tidemark.llm.words import SPACED, grams, mix, word_hashes
 
 FRAGMENT_BITS = 3
 HUB_KEYS = 8
+HUBS = 2
 SKETCH_BITS = 21
 SLICES = 32
-FILTER_BITS = 27
 KEY_SEEDS = mix(np.arange(1, HUB_KEYS + 1, dtype=np.uint64) << np.uint64(32))
 SET_SEED = np.uint64(0x5851F42D4C957F2D)
 
@@ -117,37 +117,10 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
     return np.concatenate([np.frombuffer(r[1], np.uint16) for r in sorted(rows, key=lambda r: r[0])])
 
 
-def _bits(values: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of hashed values, 16 bits a value up to a fixed size of 2**FILTER_BITS bits: no value is ever missed."""
-    rows = values.count()
-    bits = min(FILTER_BITS, max(15, (16 * rows).bit_length()))
-    place = F.pmod(F.col(column), F.lit(1 << bits)) + 1
-    found = values.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
-    out = np.zeros((1 << bits) // 8, np.uint8)
-    for bucket, piece in found:
-        at = (bucket - 1) * 4096
-        out[at : at + 4096] = np.frombuffer(piece, np.uint8)
-    return out
-
-
-def _in_bits(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    place = values & (len(bits) * 8 - 1)
-    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-
-
-def _kept_rows(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0).fill_null(0).to_numpy()
-        chosen = batch.filter(pa.array(_in_bits(bits, ids)))
-        if len(chosen):
-            yield chosen
-
-
 def _segments(n: int, shared):
     """The segments of the sets of all documents in the bitmap (few others may come along)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_chunks(_kept_rows(batches, shared.value), "text"):
+        for rows, data, offsets in text_chunks(rows_in_bitmap(shared, "doc_id", True)(batches), "text"):
             hashes, sizes = shingle_sets(data, offsets, n)
             doc = np.repeat(np.arange(len(sizes)), sizes)
             cell = (doc << FRAGMENT_BITS) | (hashes >> np.uint64(64 - FRAGMENT_BITS)).astype(np.int64)
@@ -188,7 +161,7 @@ def _shared_places(shared):
         for batch in batches:
             lengths = batch.column(3).value_lengths().to_numpy().astype(np.int64)
             places = batch.column(3).flatten().to_numpy()
-            stay = _in_bits(shared.value, places)
+            stay = in_bitmap(shared.value, places)
             row = np.repeat(np.arange(len(lengths)), lengths)
             within = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             chosen = pa.array(row[stay])
@@ -205,11 +178,12 @@ def _links(texts: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> Da
     ``pairs`` has the sets a and b, a document of each, and their sizes.
     """
     spark = texts.sparkSession
-    wanted = pairs.select(F.explode(F.array("a_doc", "b_doc")).alias("doc_id")).distinct()
-    shared = spark.sparkContext.broadcast(_bits(wanted, "doc_id"))
-    segments = texts.mapInArrow(_segments(n, shared), "set_id long, fragment int, grams array<long>")
-    left = segments.select(F.col("set_id").alias("a"), "fragment", F.col("grams").alias("left"))
-    right = segments.select(F.col("set_id").alias("b"), "fragment", F.col("grams").alias("right"))
+
+    def segments(doc: str, set_id: str, grams: str) -> DataFrame:
+        shared = spark.sparkContext.broadcast(bitmap(pairs.select(doc).distinct(), doc))
+        return texts.mapInArrow(_segments(n, shared), "set_id long, fragment int, grams array<long>").toDF(set_id, "fragment", grams)
+
+    left, right = segments("a_doc", "a", "left"), segments("b_doc", "b", "right")
     # A set may come from several documents: the partial overlap of a fragment counts once.
     partial = pairs.select("a", "b").join(left, "a").join(right, ["b", "fragment"]).groupBy("a", "b", "fragment").agg(
         F.max(F.size(F.array_intersect("left", "right"))).alias("common"))
@@ -222,10 +196,13 @@ def _hub_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
     member = sets.select("set_id", "doc_id", "n", F.posexplode("keys").alias("k", "key"))
     hubs = member.groupBy("k", "key").agg(
         F.min(F.struct("doc_id", "set_id", "n")).alias("hub"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    return member.join(hubs.select("k", "key", "hub"), ["k", "key"]).where("set_id <> hub.set_id").where(
-        (F.least("n", "hub.n") * den >= F.greatest("n", "hub.n") * num)).select(
+    met = member.join(hubs.select("k", "key", "hub"), ["k", "key"]).where("set_id <> hub.set_id").where(
+        (F.least("n", "hub.n") * den >= F.greatest("n", "hub.n") * num)).groupBy("set_id", "doc_id", "n", "hub").agg(F.count(F.lit(1)).alias("keys"))
+    # At most HUB_KEYS hubs a set; those with the most keys in common are the likeliest links.
+    likely = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("keys")).alias("keys"), "hub"))), 1, HUBS)
+    return met.groupBy("set_id", "doc_id", "n").agg(likely.alias("hubs")).withColumn("h", F.explode("hubs")).select(
         F.col("set_id").alias("a"), F.col("doc_id").alias("a_doc"), F.col("n").alias("a_n"),
-        F.col("hub.set_id").alias("b"), F.col("hub.doc_id").alias("b_doc"), F.col("hub.n").alias("b_n")).distinct()
+        F.col("h.hub.set_id").alias("b"), F.col("h.hub.doc_id").alias("b_doc"), F.col("h.hub.n").alias("b_n"))
 
 
 def _pairs_between(prefixes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -234,7 +211,7 @@ def _pairs_between(prefixes: DataFrame, sets: DataFrame, num: int, den: int) ->
     places = prefixes.select("set_id", F.explode("places").alias("place")).groupBy("place").agg(
         F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low <> high").select("place")
     places = kept(places, "shared-places")
-    shared = spark.sparkContext.broadcast(_bits(places, "place"))
+    shared = spark.sparkContext.broadcast(bitmap(places, "place"))
     rows = prefixes.mapInArrow(_shared_places(shared), "doc_id long, set_id long, n long, place long, at long")
     rows = rows.join(sets.select("doc_id", "set_id", "component"), ["doc_id", "set_id"])
     mixed = rows.groupBy("place").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("place")

@@ -28,9 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.llm.arrow import kept, lists, text_buffer, text_chunks
-from tidemark.llm.jaccard_join import _bits, _in_bits
+from tidemark.llm.arrow import bitmap, kept, lists, rows_in_bitmap, text_buffer, text_chunks
 from tidemark.llm.suffix_sort import sorted_blocks, words_at
 from tidemark.llm.words import ODD, mix, sliding_min
 
@@ -254,16 +254,8 @@ def _search(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": doc[r], "text_key": table["text_key"].to_numpy()[r], "start": pa.array(start, pa.int32()), "stop": pa.array(stop, pa.int32())})
 
 
-def _some(shared, inside: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0)
-            hit = _in_bits(shared.value, ids.fill_null(0).to_numpy()) & ~ids.is_null().to_numpy(zero_copy_only=False)
-            chosen = batch.filter(pa.array(hit == inside))
-            if len(chosen):
-                yield chosen
-
-    return run
+def _carried(kinds: str, carry: str) -> str:
+    return kinds + (f", carry {carry}" if carry else "")
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<int>, stops array<int>, kept_text binary"
@@ -295,7 +287,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array(counts),
              pa.array([r[2] for r in out], pa.string()), lists(flat[0], counts, pa.int32()), lists(flat[1], counts, pa.int32()),
-             pa.array([r[3] for r in out], pa.binary())], [x.split()[0] for x in RESULT.split(", ")])
+             pa.array([r[3] for r in out], pa.binary()), *([batch.column("carry")] if "carry" in batch.schema.names else [])],
+            [*(x.split()[0] for x in RESULT.split(", ")), *(["carry"] if "carry" in batch.schema.names else [])])
 
 
 def _conflicts(texts: DataFrame) -> bool:
@@ -325,8 +318,8 @@ def covered_spans(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES, bucket_pie
     many = open_.groupBy("gram").count().where(F.col("count") > hot_pieces).select("gram", F.lit(True).alias("hot"))
     wanted = open_.join(many, "gram", "left").groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("gram", "start", "stop", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
-    shared = spark.sparkContext.broadcast(_bits(open_.select("doc_id").distinct(), "doc_id"))
-    some = texts.mapInArrow(_some(shared, True), "doc_id long, text_key long, text string").dropDuplicates(["doc_id", "text_key"])
+    shared = spark.sparkContext.broadcast(bitmap(open_.select("doc_id").distinct(), "doc_id"))
+    some = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), "doc_id long, text_key long, text string").dropDuplicates(["doc_id", "text_key"])
     n = max(1, -(-open_.count() // bucket_pieces), min(64, open_.count() // 2048))
     cut = kept(some.join(wanted, ["doc_id", "text_key"]).mapInArrow(_cut_pieces(n), PIECE), "piece-bytes")
     spans = "doc_id long, text_key long, start int, stop int"
@@ -335,21 +328,38 @@ def covered_spans(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES, bucket_pie
     return kept(found.where("gram IS NULL").select(*names).unionByName(cut.where("bucket IS NULL").select(*names)).unionByName(searched), "spans"), keyed
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, the removed spans and the kept bytes of every row."""
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None, **limits) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, the removed spans and the kept bytes of every row.
+
+    Columns listed in ``carry`` come along in a struct of that name.
+    """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("text_key"), body.alias("text"))
     spans, keyed = covered_spans(texts, **limits)
-    if not keyed:
-        texts = texts.withColumn("text_key", F.lit(0).cast("long"))
-    shared = spark.sparkContext.broadcast(_bits(spans.select("doc_id").distinct(), "doc_id"))
-    kinds = "doc_id long, text_key long, text string"
-    whole = texts.mapInArrow(_some(shared, False), kinds).mapInArrow(_cut, RESULT)
+    body_key = F.xxhash64(body) if keyed else F.lit(0).cast("long")
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body_key.alias("text_key"), body.alias("text"),
+                        *([F.struct(*carry).alias("carry")] if carry else []))
+    struct = texts.schema["carry"].dataType.simpleString() if carry else ""
+    shared = spark.sparkContext.broadcast(bitmap(spans.select("doc_id").distinct(), "doc_id"))
+    kinds, result = _carried("doc_id long, text_key long, text string", struct), _carried(RESULT, struct)
+    whole = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", False), kinds).mapInArrow(_cut, result)
     united = spans.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    cut = texts.mapInArrow(_some(shared, True), kinds).join(united, ["doc_id", "text_key"], "left").mapInArrow(_cut, RESULT)
+    cut = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), kinds).join(united, ["doc_id", "text_key"], "left").mapInArrow(_cut, result)
     return whole.unionByName(cut)
 
 
+def with_text(schema: StructType) -> StructType:
+    return StructType([f for f in schema.fields if f.name not in ("starts", "stops", "kept_text")]).add("whole_text", "string")
+
+
+def whole_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The kept bytes as text, in place of bytes and spans; bytes that form no whole character any more are left out."""
+    for batch in batches:
+        stay = [n for n in batch.schema.names if n not in ("starts", "stops", "kept_text")]
+        texts = [x.as_py().decode("utf-8", "ignore") for x in batch.column("kept_text")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in stay), pa.array(texts, pa.string())], [*stay, "whole_text"])
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{folder}/documents.parquet")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
