@@ -31,7 +31,8 @@ BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
 WIDTH = 12
 SAMPLE_ROWS = 3_000
-EPOCHS = 6
+# At least so many passes over the sample, and so many steps (more passes where the sample is small).
+EPOCHS, LEAST_STEPS = 6, 14_400
 RATE = 0.5
 # The mean spreads a gradient thinly over many buckets; this much goes to each of them.
 SPREAD = 10.0
@@ -112,8 +113,9 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 1) -> Model:
     order = rng.permutation(len(rows))
     held = order[::5] if len(rows) >= 50 else order
     train = np.setdiff1d(order, held) if len(rows) >= 50 else order
-    steps, step = EPOCHS * len(train), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // max(1, len(train))))
+    steps, step = epochs * len(train), 0
+    for _ in range(epochs):
         for r in rng.permutation(train):
             lang, buckets, counts = rows[r]
             rate = RATE * (1 - step / steps)
