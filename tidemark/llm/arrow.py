@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes.util
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
 
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -40,12 +41,33 @@ def chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
         low = high
 
 
+def settle() -> None:
+    """Hand memory that a finished task freed back to the system; idle workers would keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if trim is not None:
+        trim(0)
+
+
+def settled(function):
+    """A function of whole groups that settles after each."""
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return function(table)
+        finally:
+            settle()
+
+    return run
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], text: str, size: int = CHUNK):
     """(batch rows as a slice, bytes, offsets) of every chunk of every batch."""
     for batch in batches:
         data, offsets = text_buffer(batch.column(text))
         for low, high in chunks(offsets, size):
             yield batch.slice(low, high - low), data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+    settle()
 
 
 def binaries(parts: list[bytes]) -> pa.Array:

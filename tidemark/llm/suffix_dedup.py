@@ -30,14 +30,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.arrow import bitmap, kept, lists, rows_in_bitmap, text_buffer, text_chunks
+from tidemark.llm.arrow import bitmap, kept, lists, rows_in_bitmap, settled, text_buffer, text_chunks
 from tidemark.llm.suffix_sort import sorted_blocks, words_at
 from tidemark.llm.words import ODD, mix, sliding_min
 
 LENGTH, GRAM = 50, 20
+CHUNK = 1 << 20
 REACH = LENGTH - GRAM + 1
-BUCKET_BYTES = 640 << 20
-BUCKET_PIECES = 100_000
+BUCKET_BYTES = 6 << 20
+BUCKET_PIECES = 50_000
 HOT_PIECES = 10_000
 LOW48, LOW40 = np.uint64((1 << 48) - 1), np.uint64((1 << 40) - 1)
 
@@ -87,8 +88,45 @@ def _first_of(group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, new, least
 
 
-FOUND = "doc_id long, text_key long, start int, stop int, gram long"
-SENT = "bucket int, base long, rows int, packed binary, " + FOUND
+SENT = "bucket int, base long, rows int, packed binary, spans binary"
+FOUND = "owner int, spans binary, doc_id long, text_key long, start int, stop int, gram long"
+
+
+def merged(doc: np.ndarray, key: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Maximal spans of every (doc, key)."""
+    if not len(doc):
+        return doc, key, start, stop
+    order = np.lexsort((start, key, doc))
+    doc, key, start, stop = doc[order], key[order], start[order], stop[order]
+    other = np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
+    # Ends so far within a document: documents are kept apart by a step larger than any text.
+    step = np.cumsum(other) * np.int64(1 << 32)
+    reach = np.maximum.accumulate(stop + step)
+    new = other | np.concatenate([[True], (start + step)[1:] > reach[:-1]])
+    last = np.append(np.flatnonzero(new)[1:] - 1, len(doc) - 1)
+    return doc[new], key[new], start[new], (reach - step)[last]
+
+
+def pack_spans(doc, key, start, stop, owners: int) -> list[tuple[int, bytes]]:
+    """Merged spans by owner, a bucket of documents."""
+    doc, key, start, stop = merged(np.asarray(doc, np.int64), np.asarray(key, np.int64), np.asarray(start, np.int64), np.asarray(stop, np.int64))
+    owner = (mix(doc.view(np.uint64)) % np.uint64(owners)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    cuts = np.flatnonzero(np.diff(owner[order], prepend=-1)).tolist()
+    out = []
+    for low, high in zip(cuts, [*cuts[1:], len(owner)]):
+        own = order[low:high]
+        out.append((int(owner[own[0]]), doc[own].tobytes() + key[own].tobytes() + start[own].astype(np.int32).tobytes() + stop[own].astype(np.int32).tobytes()))
+    return out
+
+
+def unpack_spans(packed: list[bytes]) -> tuple[np.ndarray, ...]:
+    parts = []
+    for raw in packed:
+        n = len(raw) // 24
+        parts.append((np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.int64, n, 8 * n), np.frombuffer(raw, np.int32, n, 16 * n).astype(np.int64),
+                      np.frombuffer(raw, np.int32, n, 20 * n).astype(np.int64)))
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else tuple(np.zeros(0, np.int64) for _ in range(4))
 
 
 def _pack(h, c, doc, key, start, size, base) -> bytes:
@@ -127,7 +165,7 @@ def _table(names: str, columns: list, rows: int) -> pa.RecordBatch:
 def _collapse(buckets: int, keyed: bool):
     """Pieces of every chunk: the first ones, packed by bucket, and the spans of those that repeat them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_chunks(batches, "text"):
+        for rows, data, offsets in text_chunks(batches, "text", CHUNK):
             ids = rows.column(0).to_numpy()
             keys = rows.column(1).to_numpy()
             text, start, size, h, c = pieces(data, offsets)
@@ -137,8 +175,8 @@ def _collapse(buckets: int, keyed: bool):
             order, _, least = _first_of(c, doc)
             covered = order[doc[order] > least]
             if len(covered):
-                yield _table(SENT, [None, None, None, None, doc[covered], keys[text[covered]] if keyed else np.zeros(len(covered), np.int64),
-                                    start[covered], start[covered] + size[covered], None], len(covered))
+                spans = pack_spans(doc[covered], keys[text[covered]], start[covered], start[covered] + size[covered], buckets)
+                yield _table(SENT, [[x[0] for x in spans], None, None, None, [x[1] for x in spans]], len(spans))
             first = order[doc[order] == least]
             bucket = ((h[first] >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
@@ -148,39 +186,46 @@ def _collapse(buckets: int, keyed: bool):
             for low, high in zip(cuts, cuts[1:]):
                 own = first[low:high]
                 packed.append(_pack(h[own], c[own], doc[own], keys[text[own]] if keyed else None, start[own], size[own], base))
-            yield _table(SENT, [bucket[cuts[:-1]], [base] * len(packed), np.diff(cuts), packed, None, None, None, None, None], len(packed))
+            yield _table(SENT, [bucket[cuts[:-1]], [base] * len(packed), np.diff(cuts), packed, None], len(packed))
 
     return run
 
 
-def _compare(table: pa.Table) -> pa.Table:
-    """Of one bucket: spans of pieces that repeat one of a smaller id, and the pieces whose gram has different ones."""
-    parts = [_unpack(p, n, b) for p, n, b in zip(table["packed"].to_pylist(), table["rows"].to_pylist(), table["base"].to_pylist())]
-    h, c, doc, key, start, size = (np.concatenate(x) for x in zip(*parts))
-    del parts
-    order, _, least = _first_of(mix(h * ODD + c), doc)
-    repeat = doc[order] > least
-    covered, first = order[repeat], order[~repeat]
-    by = np.argsort(h[first], kind="stable")
-    first = first[by]
-    own = h[first]
-    new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
-    group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(own))))
-    differ = np.zeros(len(new), bool)
-    if len(new):
-        d = doc[first]
-        differ = np.minimum.reduceat(d, new) != np.maximum.reduceat(d, new)
-    open_ = first[differ[group]] if len(new) else first
-    rows = np.concatenate([covered, open_])
-    gram = pa.array(np.concatenate([np.zeros(len(covered), np.int64), h[open_].astype(np.int64)]), mask=np.arange(len(rows)) < len(covered))
-    return pa.table({"doc_id": doc[rows], "text_key": key[rows], "start": pa.array(start[rows], pa.int32()),
-                     "stop": pa.array(start[rows] + size[rows], pa.int32()), "gram": gram})
-
-
-PIECE = "bucket int, doc_id long, text_key long, start int, piece binary, stop int"
-
-
-def _cut_pieces(buckets: int):
+def _compare(owners: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Of one bucket: spans of pieces that repeat one of a smaller id, and the pieces whose gram has different ones."""
+        spans = [unpack_spans([x for x in table["spans"].to_pylist() if x is not None])]
+        table = table.filter(pa.compute.is_valid(table["packed"]))
+        rows = (np.zeros(0, np.int64),) * 5
+        if len(table):
+            parts = [_unpack(p, n, b) for p, n, b in zip(table["packed"].to_pylist(), table["rows"].to_pylist(), table["base"].to_pylist())]
+            h, c, doc, key, start, size = (np.concatenate(x) for x in zip(*parts))
+            del parts
+            order, _, least = _first_of(mix(h * ODD + c), doc)
+            repeat = doc[order] > least
+            covered, first = order[repeat], order[~repeat]
+            spans.append((doc[covered], key[covered], start[covered], start[covered] + size[covered]))
+            first = first[np.argsort(h[first], kind="stable")]
+            own = h[first]
+            new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            d = doc[first]
+            differ = np.minimum.reduceat(d, new) != np.maximum.reduceat(d, new)
+            left = first[np.repeat(differ, np.diff(np.append(new, len(own))))]
+            rows = (doc[left], key[left], start[left], start[left] + size[left], h[left].astype(np.int64))
+        packed = pack_spans(*(np.concatenate(x) for x in zip(*spans)), owners)
+        n, m = len(packed), len(rows[0])
+        names = [x.split()[0] for x in FOUND.split(", ")]
+        return pa.table([
+            pa.array([*(x[0] for x in packed), *[None] * m], pa.int32()), pa.array([*(x[1] for x in packed), *[None] * m], pa.binary()),
+            *(pa.concat_arrays([pa.nulls(n, kind), pa.array(x).cast(kind)]) for x, kind in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())))], names)
+
+    return run
+
+
+PIECE = "bucket int, doc_id long, text_key long, start int, piece binary, spans binary"
+
+
+def _cut_pieces(buckets: int, owners: int):
     """The bytes of the wanted pieces; those of hot grams as single windows, collapsed within the batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +259,8 @@ def _cut_pieces(buckets: int):
                     repeat, first = order[doc[order] > least], order[doc[order] == least]
                     place = begin - offsets[row]
                     if len(repeat):
-                        yield _table(PIECE, [None, doc[repeat], keys[row[repeat]], place[repeat], None, place[repeat] + LENGTH], len(repeat))
+                        spans = pack_spans(doc[repeat], keys[row[repeat]], place[repeat], place[repeat] + LENGTH, owners)
+                        yield _table(PIECE, [[-1 - x[0] for x in spans], None, None, None, None, [x[1] for x in spans]], len(spans))
                     bucket = (content[first] % np.uint64(buckets)).astype(np.int64)
                     yield _table(PIECE, [bucket, doc[first], keys[row[first]], place[first],
                                          [raw[a : a + LENGTH] for a in begin[first].tolist()], None], len(first))
@@ -235,58 +281,59 @@ def repeated_windows(text: np.ndarray, places: np.ndarray, docs: np.ndarray, len
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def _search(table: pa.Table) -> pa.Table:
-    """Of one bucket of pieces: the spans that repeat a string of a smaller id, by a suffix array."""
-    data, offsets = text_buffer(table["piece"])
-    sizes = np.diff(offsets)
-    counts = sizes - LENGTH + 1
-    row = np.repeat(np.arange(len(sizes)), counts)
-    places = np.repeat(offsets[:-1], counts) + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    doc = table["doc_id"].to_numpy()
-    found = np.sort(repeated_windows(data, places, doc[row]))
-    own = np.searchsorted(offsets, found, side="right") - 1
-    new = np.concatenate([[True], (found[1:] != found[:-1] + 1) | (own[1:] != own[:-1])]) if len(found) else np.zeros(0, bool)
-    begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(found)) - 1 if len(found) else begin
-    r = own[begin]
-    start = table["start"].to_numpy()[r] + found[begin] - offsets[r]
-    stop = table["start"].to_numpy()[r] + found[end] - offsets[r] + LENGTH
-    return pa.table({"doc_id": doc[r], "text_key": table["text_key"].to_numpy()[r], "start": pa.array(start, pa.int32()), "stop": pa.array(stop, pa.int32())})
+def _search(owners: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Of one bucket of pieces: the spans that repeat a string of a smaller id, by a suffix array."""
+        data, offsets = text_buffer(table["piece"])
+        counts = np.diff(offsets) - LENGTH + 1
+        row = np.repeat(np.arange(len(counts)), counts)
+        places = np.repeat(offsets[:-1], counts) + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        doc = table["doc_id"].to_numpy()
+        found = repeated_windows(data, places, doc[row])
+        own = np.searchsorted(offsets, found, side="right") - 1
+        start = table["start"].to_numpy()[own] + found - offsets[own]
+        packed = pack_spans(doc[own], table["text_key"].to_numpy()[own], start, start + LENGTH, owners)
+        return pa.table([pa.array([x[0] for x in packed], pa.int32()), pa.array([x[1] for x in packed], pa.binary())], ["owner", "spans"])
+
+    return run
+
+
+def _unite(table: pa.Table) -> pa.Table:
+    """Of one bucket of documents: every document's maximal spans."""
+    doc, key, start, stop = merged(*unpack_spans(table["spans"].to_pylist()))
+    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])) if len(doc) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(new, len(doc)))
+    return pa.table([pa.array(doc[new]), pa.array(key[new]), lists(start, counts, pa.int64()), lists(stop, counts, pa.int64())], ["doc_id", "text_key", "starts", "stops"])
 
 
 def _carried(kinds: str, carry: str) -> str:
     return kinds + (f", carry {carry}" if carry else "")
 
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<int>, stops array<int>, kept_text binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, stops array<long>, kept_text binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans = batch.column("spans") if "spans" in batch.schema.names else None
+        spans = (batch.column("starts"), batch.column("stops")) if "starts" in batch.schema.names else None
         data, offsets = text_buffer(batch.column("text"))
         raw = data.tobytes()
         out, starts, stops, counts = [], [], [], np.zeros(len(batch), np.int64)
         for i in range(len(batch)):
             body = raw[offsets[i] : offsets[i + 1]]
             removed = 0
-            if spans is not None and spans[i].is_valid:
-                own = spans[i].values
-                s, e = own.field("start").to_numpy(), own.field("stop").to_numpy()
-                order = np.argsort(s, kind="stable")
-                s, e = s[order], np.maximum.accumulate(e[order])
-                new = np.concatenate([[True], s[1:] > e[:-1]])
-                s, e = s[new], e[np.concatenate([new[1:], [True]])]
+            if spans is not None and spans[0][i].is_valid:
+                s, e = (x[i].values.to_numpy() for x in spans)
                 starts.append(s)
                 stops.append(e)
                 counts[i], removed = len(s), int((e - s).sum())
                 edges = [0, *np.stack([s, e], axis=1).reshape(-1).tolist(), len(body)]
                 body = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2]))
             out.append((int(offsets[i + 1] - offsets[i]), removed, hashlib.sha256(body).hexdigest(), body))
-        flat = [np.concatenate(x) if x else np.zeros(0, np.int32) for x in (starts, stops)]
+        flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, stops)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array(counts),
-             pa.array([r[2] for r in out], pa.string()), lists(flat[0], counts, pa.int32()), lists(flat[1], counts, pa.int32()),
+             pa.array([r[2] for r in out], pa.string()), lists(flat[0], counts, pa.int64()), lists(flat[1], counts, pa.int64()),
              pa.array([r[3] for r in out], pa.binary()), *([batch.column("carry")] if "carry" in batch.schema.names else [])],
             [*(x.split()[0] for x in RESULT.split(", ")), *(["carry"] if "carry" in batch.schema.names else [])])
 
@@ -297,7 +344,7 @@ def _conflicts(texts: DataFrame) -> bool:
 
 
 def covered_spans(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES, bucket_pieces: int = BUCKET_PIECES, hot_pieces: int = HOT_PIECES) -> tuple[DataFrame, bool]:
-    """doc_id, text_key, start, stop of spans to remove (they may overlap), and whether text_key counts.
+    """doc_id, text_key and the sorted spans to remove of every document that has any, and whether text_key counts.
 
     ``texts`` has doc_id, text_key, text.
     """
@@ -307,25 +354,24 @@ def covered_spans(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES, bucket_pie
     if not keyed:
         texts = texts.withColumn("text_key", F.lit(0).cast("long"))
     texts = texts.where("doc_id IS NOT NULL")
-    # A bucket gets the pieces of about bucket_bytes of text, some 50 MB of them.
-    buckets = min(1 << 16, max(2, -(-size // bucket_bytes), min(size // (8 << 20), 64)))
-    sent = kept(texts.mapInArrow(_collapse(buckets, keyed), SENT), "pieces")
-    names = [x.split()[0] for x in FOUND.split(", ")]
-    compared = sent.where("bucket IS NOT NULL").select("bucket", "base", "rows", "packed").groupBy("bucket").applyInArrow(_compare, FOUND)
-    found = kept(sent.where("bucket IS NULL").select(*names).unionByName(compared), "found")
-
-    open_ = found.where("gram IS NOT NULL")
-    many = open_.groupBy("gram").count().where(F.col("count") > hot_pieces).select("gram", F.lit(True).alias("hot"))
-    wanted = open_.join(many, "gram", "left").groupBy("doc_id", "text_key").agg(
+    # A bucket gets the pieces of about bucket_bytes of text.
+    buckets = min(1 << 16, max(2, -(-size // bucket_bytes)))
+    sent = texts.mapInArrow(_collapse(buckets, keyed), SENT)
+    found = kept(sent.groupBy("bucket").applyInArrow(settled(_compare(buckets)), FOUND), "found")
+
+    left = found.where("gram IS NOT NULL")
+    many = left.groupBy("gram").count().where(F.col("count") > hot_pieces).select("gram", F.lit(True).alias("hot"))
+    wanted = left.join(many, "gram", "left").groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("gram", "start", "stop", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
-    shared = spark.sparkContext.broadcast(bitmap(open_.select("doc_id").distinct(), "doc_id"))
-    some = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), "doc_id long, text_key long, text string").dropDuplicates(["doc_id", "text_key"])
-    n = max(1, -(-open_.count() // bucket_pieces), min(64, open_.count() // 2048))
-    cut = kept(some.join(wanted, ["doc_id", "text_key"]).mapInArrow(_cut_pieces(n), PIECE), "piece-bytes")
-    spans = "doc_id long, text_key long, start int, stop int"
-    searched = cut.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(_search, spans)
-    names = [x.split()[0] for x in spans.split(", ")]
-    return kept(found.where("gram IS NULL").select(*names).unionByName(cut.where("bucket IS NULL").select(*names)).unionByName(searched), "spans"), keyed
+    shared = spark.sparkContext.broadcast(bitmap(left.select("doc_id").distinct(), "doc_id"))
+    some = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), "doc_id long, text_key long, text string")
+    n = max(2, -(-left.count() // bucket_pieces))
+    # Copies of a row bring the same pieces once more, which changes nothing.
+    cut = kept(some.join(wanted, ["doc_id", "text_key"]).mapInArrow(_cut_pieces(n, buckets), PIECE), "piece-bytes")
+    searched = cut.where("bucket >= 0").groupBy("bucket").applyInArrow(settled(_search(buckets)), "owner int, spans binary")
+    spans = found.where("owner IS NOT NULL").select("owner", "spans").unionByName(searched).unionByName(
+        cut.where("bucket < 0").select((-1 - F.col("bucket")).alias("owner"), "spans"))
+    return kept(spans.groupBy("owner").applyInArrow(_unite, "doc_id long, text_key long, starts array<long>, stops array<long>"), "spans"), keyed
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None, **limits) -> DataFrame:
@@ -344,8 +390,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = spark.sparkContext.broadcast(bitmap(spans.select("doc_id").distinct(), "doc_id"))
     kinds, result = _carried("doc_id long, text_key long, text string", struct), _carried(RESULT, struct)
     whole = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", False), kinds).mapInArrow(_cut, result)
-    united = spans.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    cut = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), kinds).join(united, ["doc_id", "text_key"], "left").mapInArrow(_cut, result)
+    cut = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), kinds).join(spans, ["doc_id", "text_key"], "left").mapInArrow(_cut, result)
     return whole.unionByName(cut)
 
 
