@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from tidemark.sources.tables import FACT_DRIVERS, panel_from_facts
 
 DRIVERS = list(FACT_DRIVERS)
-# The last order day opens a month of its own; complete periods end before it.
-UNTIL = "2001-08-01"
 
 
 @dataclass(frozen=True)
@@ -107,15 +105,14 @@ def cte(name: str, sql: str, needs: str = "") -> None:
 
 
 def panel(spark: SparkSession, folder: str) -> DataFrame:
-    return panel_from_facts(spark, folder, until=UNTIL)
+    return panel_from_facts(spark, folder)
 
 
 def nation_panel(spark: SparkSession, folder: str) -> DataFrame:
-    return panel_from_facts(spark, folder, ("c_nationkey", "c_mktsegment"), until=UNTIL)
+    return panel_from_facts(spark, folder, ("c_nationkey", "c_mktsegment"))
 
 
-def _panel_sql(series: str, unit: str, until: str | None = UNTIL) -> str:
-    where = f"WHERE o_orderdate < TIMESTAMP '{until}'" if until else ""
+def _panel_sql(series: str, unit: str) -> str:
     return f"""
 SELECT {series} AS series_id, CAST(date_trunc('{unit}', o_orderdate) AS DATE) AS period,
   round(sum(o_totalprice), 2) AS target, CAST(count(*) AS DOUBLE) AS n_orders,
@@ -126,7 +123,7 @@ SELECT {series} AS series_id, CAST(date_trunc('{unit}', o_orderdate) AS DATE) AS
   round(sum(discount), 2) / sum(items) AS mean_discount, round(sum(tax), 2) / sum(items) AS mean_tax,
   round(sum(price), 2) / sum(items) AS mean_price, sum(returned) / sum(items) AS share_returned
 FROM orders LEFT JOIN items ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
-{where} GROUP BY 1, 2"""
+GROUP BY 1, 2"""
 
 
 cte("items", """

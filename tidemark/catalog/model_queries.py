@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -560,8 +561,6 @@ cte("trend", "SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY perio
 
 
 def _trend_fit(spark, sf):
-    import pandas as pd
-
     p = panel(spark, sf).withColumn("t", F.row_number().over(Window.partitionBy("series_id").orderBy("period")).cast("double"))
     sums = G.gram(p.select("series_id", F.array("t", "n_orders").alias("x")), ["series_id"])
 
@@ -617,14 +616,14 @@ _FC = "series_id fold:i model step:i period:d yhat:2"
 def _centered(spark, sf):
     p = materialize(panel(spark, sf))
     folds = materialize(FO.make_folds(p, H))
-    return center_panel(p, DRIVERS), folds, FO.holdout_rows(p, folds)
+    return center_panel(p, DRIVERS, folds), folds, FO.holdout_rows(p, folds)
 
 
 def _linear(model):
     def plan(spark, sf):
         c, folds, future = _centered(spark, sf)
         fits = materialize(fit_linear(c, folds, DRIVERS, "M", [model]))
-        return forecast_linear(fits, c, folds, future, DRIVERS, "M")
+        return forecast_linear(fits, c, folds, future, DRIVERS, "M", models=[model])
 
     return plan
 
@@ -639,26 +638,30 @@ for _m in ("rf", "gbt", "rff_regression"):
 
 # ---- jobs ----------------------------------------------------------------------------------
 
-JOB_SETTINGS = DEFAULTS.with_(n_trees=10, models=tuple(m for m in DEFAULTS.models if m not in ("gbt", "rff_regression")))
+
+def _step_1(spark, sf):
+    return run_feature_selection(panel(spark, sf), DRIVERS, strict=False)
+
+
+def _step_2(spark, sf):
+    one = _step_1(spark, sf)
+    return one, run_model_selection(one["panel"], DRIVERS, one["selected"])
 
 
 @query("run_feature_selection", "series_id variable corr_value:3 vif:4 composite:4 rank:i")
 def _(spark, sf):
-    return run_feature_selection(panel(spark, sf), DRIVERS, settings=JOB_SETTINGS.with_(min_observations=48), strict=False)["selected"]
+    return _step_1(spark, sf)["selected"]
 
 
 @query("run_model_selection", "series_id model model_rank:i mape:6 fq_score:6 weight:6")
 def _(spark, sf):
-    return run_model_selection(panel(spark, sf), DRIVERS, settings=JOB_SETTINGS)["chosen"]
+    return _step_2(spark, sf)[1]["chosen"]
 
 
 @query("run_future_forecast", "series_id step_id:i period:d forecast_top_1:2 forecast_top_2:2 forecast_ensemble:2")
 def _(spark, sf):
-    p = materialize(panel(spark, sf))
-    ranks = F.array(F.struct(F.lit("elasticnet").alias("model"), F.lit(1).alias("model_rank"), F.lit(0.6).alias("weight")),
-                    F.struct(F.lit("theta").alias("model"), F.lit(2).alias("model_rank"), F.lit(0.4).alias("weight")))
-    chosen = p.select("series_id").distinct().select("series_id", F.inline(ranks))
-    return run_future_forecast(p, DRIVERS, chosen, settings=JOB_SETTINGS)["forecast_table"]
+    one, two = _step_2(spark, sf)
+    return run_future_forecast(one["panel"], DRIVERS, two["chosen"], two["driver_weights"], one["selected"])["forecast_table"]
 
 
 @query("percent_error", "series_id fold:i model step:i pe:6", """

@@ -52,12 +52,12 @@ query("panel_nation_segment", _ALL, "SELECT * FROM nation", "nation")(nation_pan
 
 @query("panel_weekly", _ALL, "SELECT * FROM weekly", "weekly")
 def _(spark, sf):
-    return T.panel_from_facts(spark, sf, freq="W", until="2001-08-01")
+    return T.panel_from_facts(spark, sf, freq="W")
 
 
 @query("panel_yearly", _ALL, "SELECT * FROM yearly", "yearly")
 def _(spark, sf):
-    return T.panel_from_facts(spark, sf, freq="Y", until="2001-08-01")
+    return T.panel_from_facts(spark, sf, freq="Y")
 
 
 @query("resample_last", "series_id period:d value:2 odd:2", """
@@ -294,7 +294,7 @@ SELECT series_id, period, month(period) AS month, year(period) AS year, sin(2 *
   cos(2 * pi() * month(period) / 12) AS season_cos, weekofyear(period) AS week, sin(2 * pi() * weekofyear(period) / 52) AS week_sin,
   date_diff('day', DATE '1970-01-05', period) // 7 AS ordinal FROM weekly""", "weekly")
 def _(spark, sf):
-    w = T.panel_from_facts(spark, sf, freq="W", until="2001-08-01")
+    w = T.panel_from_facts(spark, sf, freq="W")
     cols = cal.calendar_features(F.col("period"), "M")
     wk = cal.calendar_features(F.col("period"), "W")
     return w.select("series_id", "period", *cols, wk[0], wk[2].alias("week_sin"), cal.period_ordinal(F.col("period"), "W").alias("ordinal"))
@@ -339,7 +339,7 @@ def _(spark, sf):
 @query("make_target_features_weekly", _FEATS + " week:0 season_cos:8", "SELECT * FROM (" + _feature_sql("weekly", "target", "W", ["n_orders"], 13, 26) +
        ") WHERE rolling_long IS NOT NULL AND target_lag_12 IS NOT NULL", "weekly")
 def _(spark, sf):
-    return feat.make_target_features(T.panel_from_facts(spark, sf, freq="W", until="2001-08-01"), ["n_orders"], "W")
+    return feat.make_target_features(T.panel_from_facts(spark, sf, freq="W"), ["n_orders"], "W")
 
 
 @query("drop_incomplete_features", "series_id n:i", """
@@ -415,7 +415,7 @@ SELECT series_id, freq, season, roll_short, roll_long, history, n FROM (
 def _(spark, sf):
     parts = []
     for f in "MWY":
-        p = T.panel_from_facts(spark, sf, freq=f, until="2001-08-01").groupBy("series_id").agg(F.count(F.lit(1)).alias("n"))
+        p = T.panel_from_facts(spark, sf, freq=f).groupBy("series_id").agg(F.count(F.lit(1)).alias("n"))
         parts.append(p.select("series_id", "n", *[F.lit(v).alias(k) for k, v in cal.freq_params(f).items()]))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

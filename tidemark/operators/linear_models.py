@@ -36,17 +36,23 @@ MG_SPLITS, MG_MIN_WINDOW = 5, 20
 CV_SLICES = 5
 
 
-def center_panel(panel: DataFrame, drivers: Sequence[str]) -> DataFrame:
+def center_panel(panel: DataFrame, drivers: Sequence[str], folds: DataFrame) -> DataFrame:
     """Adds ``y`` (log target minus the series mean ``mu``), z-scored drivers ``z_*`` and the
     z-scored row mean ``z__mean``. Linear fits do not change under these shifts; they keep
-    the cross-products well conditioned. Returns also the constants per series."""
+    the cross-products well conditioned. Returns also the constants per series. They come from
+    the rows that every fold trains on, so no holdout row moves a forecast."""
     w = Window.partitionBy("series_id")
+    common = folds.groupBy("series_id").agg(F.min("train_end").alias("_common"))
     mean = sum((F.col(d) for d in drivers[1:]), F.col(drivers[0])) / len(drivers) if drivers else F.lit(0.0)
-    p = panel.withColumn("_mean", mean).withColumn("_log", log_target(F.col("target")))
-    consts = {"mu": F.avg("_log").over(w)}
+    p = panel.join(common, "series_id").withColumn("_mean", mean).withColumn("_log", log_target(F.col("target")))
+
+    def trained(c: str) -> Column:
+        return F.when(F.col("period") <= F.col("_common"), F.col(c))
+
+    consts = {"mu": F.avg(trained("_log")).over(w)}
     for d in [*drivers, "_mean"]:
-        consts[f"_m_{d}"] = F.avg(d).over(w)
-        consts[f"_s_{d}"] = F.stddev_pop(d).over(w)
+        consts[f"_m_{d}"] = F.avg(trained(d)).over(w)
+        consts[f"_s_{d}"] = F.stddev_pop(trained(d)).over(w)
     return _apply_center(p.withColumns(consts), drivers).withColumn("y", F.col("_log") - F.col("mu"))
 
 
@@ -242,7 +248,8 @@ def fit_linear(centered: DataFrame, folds: DataFrame, drivers: Sequence[str], fr
 
 
 def forecast_linear(fits: DataFrame, centered: DataFrame, folds: DataFrame, future: DataFrame, drivers: Sequence[str],
-                    freq: str, settings: Settings = DEFAULTS, clamp: bool = True) -> DataFrame:
+                    freq: str, settings: Settings = DEFAULTS, clamp: bool = True,
+                    models: Sequence[str] = LINEAR_MODELS) -> DataFrame:
     """(series_id, fold, model, step, period, yhat) in the units of the target.
 
     ``future`` holds the drivers of the steps to forecast: series_id, fold, step, period, drivers.
@@ -263,7 +270,7 @@ def forecast_linear(fits: DataFrame, centered: DataFrame, folds: DataFrame, futu
     fut = fut.join(years, ["series_id", "fold"]).join(last, ["series_id", "fold"])
     fut = fut.withColumns({
         f"d_{d}": F.col(f"z_{d}") - F.coalesce(F.lag(f"z_{d}").over(w), F.col(f"last.{d}")) for d in drivers})
-    layouts = list(LAYOUT_MODELS)
+    layouts = [la for la, ms in LAYOUT_MODELS.items() if set(ms) & set(models)]
     steps = fut.groupBy("series_id", "fold").agg(
         F.first("mu").alias("mu"),
         F.array_sort(F.collect_list(F.struct(

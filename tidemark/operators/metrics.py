@@ -166,4 +166,4 @@ def metrics_report(scores: DataFrame, ensemble: DataFrame, naive: DataFrame, pan
     text = F.when(F.col("section") == "mean_actual", F.format_string("mean actual %.4f", F.col("mape"))).when(
         F.col("fq_score").isNotNull(), F.format_string("%d. %s MAPE %.4f FQS %.4f", "rank", "model", "mape", "fq_score")
     ).otherwise(F.format_string("%s MAPE %.4f", F.col("model"), F.col("mape")))
-    return rows.withColumn("line", text)
+    return rows.withColumn("line", F.when(F.col("mape").isNotNull(), text).otherwise(F.concat("model", F.lit(" without score"))))

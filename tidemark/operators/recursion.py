@@ -14,7 +14,8 @@ def recursive_path(history: Column | str, phi: Column | str, effects: Column | s
 
     ``effects`` holds everything known in advance (intercept, drivers, calendar), one
     value per step; ``phi`` weighs the latest values first. The growing history is the
-    only state. Predictions are clipped to [lo, hi] before they are fed back.
+    only state. Predictions are clipped to [lo, hi] before they are fed back;
+    one that is missing or not finite becomes the middle of the band.
     """
     history, phi, effects = (F.col(c) if isinstance(c, str) else c for c in (history, phi, effects))
     k = F.size(phi)
@@ -25,7 +26,8 @@ def recursive_path(history: Column | str, phi: Column | str, effects: Column | s
         for coef, window in std_terms:
             y = y + coef * history_std(window, h)
         if lo is not None:
-            y = F.greatest(F.least(y, hi), lo)
+            lost = y.isNull() | F.isnan(y) | (F.abs(y) == F.lit(float("inf")))
+            y = F.when(lost, (lo + hi) / 2).otherwise(F.greatest(F.least(y, hi), lo))
         return F.concat(h, F.array(y))
 
     grown = F.aggregate(effects, history, step)

@@ -26,15 +26,21 @@ def drop_high_missing(long: DataFrame, threshold: float = 0.25) -> tuple[DataFra
 def corr_with_target(long: DataFrame, target: DataFrame, threshold: float = 0.2) -> DataFrame:
     """Pearson correlation over complete pairs; a missing correlation is neither kept nor rejected."""
     pairs = long.join(target.select("series_id", "period", "target"), ["series_id", "period"])
-    return _corr_report(pairs.groupBy(*KEYS).agg(F.corr("value", "target").alias("corr")), threshold)
+    return _corr_report(pairs.groupBy(*KEYS).agg(_corr("value", "target").alias("corr")), threshold)
 
 
 def corr_with_target_wide(panel: DataFrame, variables: Sequence[str], threshold: float = 0.2) -> DataFrame:
     """The same from the wide panel: one partial aggregate per series, no unpivot of the rows."""
-    corrs = panel.groupBy("series_id").agg(*[F.corr(v, "target").alias(v) for v in variables])
+    corrs = panel.groupBy("series_id").agg(*[_corr(v, "target").alias(v) for v in variables])
     return _corr_report(corrs.unpivot("series_id", list(variables), "variable", "corr"), threshold)
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson correlation over complete pairs; NULL, not an error, where either side has no variance."""
+    x, y = (F.when(F.col(other).isNotNull(), F.col(c)) for c, other in ((a, b), (b, a)))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def _corr_report(corrs: DataFrame, threshold: float) -> DataFrame:
     r = F.nanvl("corr", F.lit(None).cast("double"))
     return corrs.withColumn("corr", r).withColumn("corr_value", F.round("corr", 3)).withColumn(

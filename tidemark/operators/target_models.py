@@ -77,7 +77,9 @@ def forecast_univariate(centered: DataFrame, folds: DataFrame, future: DataFrame
     if "holtwinters" in models:
         parts.append(_rows(ets_forecast(arrays, freq).withColumn("_path", F.col("ets.path")), "_path", "holtwinters"))
     if "theta" in models:
-        parts.append(_rows(theta_forecast(arrays, freq).withColumn("_path", F.col("theta.path")), "_path", "theta"))
+        # The season test chooses its form by the sign of the log target itself.
+        logs = arrays.withColumns({"y": F.transform("y", lambda v: v + F.col("mu")), "mu": F.lit(0.0)})
+        parts.append(_rows(theta_forecast(logs, freq).withColumn("_path", F.col("theta.path")), "_path", "theta"))
     if "fourier_trend" in models:
         parts.append(_rows(fourier_trend(arrays, freq), "fourier_trend", "fourier_trend"))
     out = parts[0]
@@ -102,7 +104,7 @@ def forecast_models(centered: DataFrame, folds: DataFrame, future: DataFrame, dr
     linear = [m for m in LINEAR_MODELS if m in settings.models]
     if linear:
         fits = fit_linear(centered, folds, drivers, freq, linear, settings)
-        parts.append(forecast_linear(fits, centered, folds, future, drivers, freq, settings, clamp))
+        parts.append(forecast_linear(fits, centered, folds, future, drivers, freq, settings, clamp, linear))
     pooled = [m for m in POOLED_MODELS if m in settings.models]
     if pooled:
         parts.append(forecast_pooled(centered, folds, future, drivers, freq, pooled, settings, clamp))

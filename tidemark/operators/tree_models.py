@@ -132,7 +132,8 @@ def _roll_udf(fitted: dict, n_lags: int, short: int, long: int, clamp: float | N
                 a, b = past[:, -short:], past[:, -long:]
                 stats = np.column_stack([a.mean(1), b.mean(1), a.std(1, ddof=1), b.std(1, ddof=1)])
                 x = np.column_stack([past[:, :-n_lags - 1:-1], exog[:, t], stats])
-                past = np.column_stack([past, np.clip(fitted[p, name](x), lo, hi)])
+                y = fitted[p, name](x)
+                past = np.column_stack([past, np.where(np.isfinite(y), np.clip(y, lo, hi), mean[idx])])
             out[idx] = pd.Series(list(past[:, -h:]), index=idx)
         return out
 

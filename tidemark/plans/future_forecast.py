@@ -15,7 +15,7 @@ from tidemark.operators.linear_models import center_panel
 from tidemark.operators.panel import to_wide
 from tidemark.operators.target_models import forecast_models
 from tidemark.plans.feature_selection import mask_unselected
-from tidemark.plans.model_selection import selected_long
+from tidemark.plans.model_selection import fill_unselected, selected_long
 from tidemark.session import materialize
 from tidemark.sources.sinks import append_risk_summary, write_csv, write_table
 from tidemark.settings import DEFAULTS, Settings
@@ -39,12 +39,12 @@ def run_future_forecast(panel: DataFrame, drivers: Sequence[str], chosen: DataFr
     future, window = driver_future(long, ends, weights, freq, horizon)
     future = materialize(future)
     folds = materialize(final_fold(panel))
-    wide = to_wide(future, drivers).fillna(0.0, drivers).join(folds.select("series_id", "fold", "train_end"), "series_id")
+    wide = fill_unselected(to_wide(future, drivers), selected, drivers).join(folds.select("series_id", "fold", "train_end"), "series_id")
     steps = F.row_number().over(_steps()).cast("bigint")
     wide = wide.withColumn("step", steps).drop("train_end")
     # At most the names of the catalogue come back.
     used = [r["model"] for r in chosen.select("model").distinct().collect()]
-    forecasts = forecast_models(center_panel(panel, drivers), folds, wide, drivers, freq,
+    forecasts = forecast_models(center_panel(panel, drivers, folds), folds, wide, drivers, freq,
                                 settings.with_(models=tuple(m for m in settings.models if m in used)), clamp=not compat)
     forecasts = materialize(forecasts.join(chosen.select("series_id", "model"), ["series_id", "model"], "left_semi"))
     table, names = E.future_table(forecasts, chosen, settings)

@@ -25,6 +25,13 @@ def selected_long(panel: DataFrame, selected: DataFrame, drivers: Sequence[str])
     return to_long(panel, drivers).join(selected.select("series_id", "variable"), ["series_id", "variable"], "left_semi")
 
 
+def fill_unselected(future: DataFrame, selected: DataFrame, drivers: Sequence[str]) -> DataFrame:
+    """Zero for the drivers a series does not use, as in training; a used driver without forecast stays NULL."""
+    own = selected.groupBy("series_id").agg(F.collect_set("variable").alias("_own"))
+    rows = future.join(own, "series_id", "left")
+    return rows.withColumns({d: F.when(F.array_contains("_own", d), F.col(d)).otherwise(0.0) for d in drivers}).drop("_own")
+
+
 def run_model_selection(panel: DataFrame, drivers: Sequence[str], selected: DataFrame | None = None, freq: str = "M",
                         horizon: int = 12, settings: Settings = DEFAULTS, history: DataFrame | None = None
                         ) -> dict[str, DataFrame]:
@@ -44,8 +51,8 @@ def run_model_selection(panel: DataFrame, drivers: Sequence[str], selected: Data
     weights = materialize(driver_backtest_weights(history if history is not None else long, freq, horizon, settings.max_folds))
     driver_paths = materialize(driver_holdout(long, folds, weights, freq, horizon))
     future = to_wide(driver_paths.withColumnRenamed("yhat", "value"), drivers, ("series_id", "fold", "step", "period"))
-    future = future.fillna(0.0, drivers)
-    centered = materialize(center_panel(panel, drivers))
+    future = fill_unselected(future, selected, drivers)
+    centered = materialize(center_panel(panel, drivers, folds))
     forecasts = materialize(forecast_models(centered, folds, future, drivers, freq, settings))
     scored = M.score_rows(forecasts, panel, folds)
     metrics = materialize(M.forecast_metrics(scored, settings))

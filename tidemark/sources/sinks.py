@@ -14,7 +14,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def three_decimals(df: DataFrame) -> DataFrame:
     """Doubles as plain three-decimal text, the format of the score files."""
-    out = [F.format_string("%.3f", F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+    out = [F.when(F.col(c).isNotNull(), F.format_string("%.3f", F.col(c))).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
     return df.select(*out)
 
 
