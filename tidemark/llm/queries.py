@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, chat, decontaminate, importance, jaccard_join, language, pitman_yor, sharding, suffix_dedup, top_k
+from tidemark.llm import (
+    byte_bpe,
+    chat,
+    decontaminate,
+    fill_middle,
+    importance,
+    jaccard_join,
+    language,
+    pitman_yor,
+    sharding,
+    suffix_dedup,
+    top_k,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance": importance.query,
@@ -19,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": suffix_dedup.query,
     "op9_chat_format": chat.query,
     "op10_pitman_yor": pitman_yor.query,
+    "op11_fill_middle": fill_middle.query,
 }
 
 SQL: dict[str, str] = {
@@ -26,4 +39,5 @@ SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.SQL,
     "op4_exact_top_k": top_k.SQL,
     "op9_chat_format": chat.SQL,
+    "op11_fill_middle": fill_middle.SQL,
 }
