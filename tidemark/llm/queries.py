@@ -11,6 +11,7 @@ from tidemark.llm import (
     chat,
     decontaminate,
     fill_middle,
+    filter_audit,
     importance,
     jaccard_join,
     language,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_format": chat.query,
     "op10_pitman_yor": pitman_yor.query,
     "op11_fill_middle": fill_middle.query,
+    "op12_filter_audit": filter_audit.query,
 }
 
 SQL: dict[str, str] = {
@@ -40,4 +42,5 @@ SQL: dict[str, str] = {
     "op4_exact_top_k": top_k.SQL,
     "op9_chat_format": chat.SQL,
     "op11_fill_middle": fill_middle.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
