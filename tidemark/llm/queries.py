@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
+    block_dedup,
     byte_bpe,
     chat,
     decontaminate,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pitman_yor": pitman_yor.query,
     "op11_fill_middle": fill_middle.query,
     "op12_filter_audit": filter_audit.query,
+    "op13_block_dedup": block_dedup.query,
 }
 
 SQL: dict[str, str] = {
@@ -43,4 +45,5 @@ SQL: dict[str, str] = {
     "op9_chat_format": chat.SQL,
     "op11_fill_middle": fill_middle.SQL,
     "op12_filter_audit": filter_audit.SQL,
+    "op13_block_dedup": block_dedup.SQL,
 }

@@ -44,10 +44,9 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and for every text the index of its first word (one more at the end)."""
-    low = LOWER[data]
-    inside = table[low]
+def word_places(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which bytes belong to words, where words start, and their lengths."""
+    inside = table[data]
     begins, ends = np.empty_like(inside), np.empty_like(inside)
     if len(data):
         begins[0], begins[1:] = True, ~inside[:-1]
@@ -56,22 +55,32 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tup
         begins[offsets[:-1][filled]] = True
         ends[offsets[1:][filled] - 1] = True
     starts = np.flatnonzero(inside & begins)
-    lengths = np.flatnonzero(inside & ends) + 1 - starts
+    return inside, starts, np.flatnonzero(inside & ends) + 1 - starts
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and for every text the index of its first word (one more at the end).
+
+    ``fold``: capitals count as small letters.
+    """
+    if fold:
+        data = LOWER[data]
+    inside, starts, lengths = word_places(data, offsets, table)
     first = np.searchsorted(starts, offsets)
     if not len(starts):
         return np.zeros(0, np.uint64), first
     packed = np.cumsum(lengths) - lengths
     within = np.arange(packed[-1] + lengths[-1]) - np.repeat(packed, lengths)
-    values = BYTE[low[inside]] * _powers(int(lengths.max()))[within]
+    values = BYTE[data[inside]] * _powers(int(lengths.max()))[within]
     return mix(np.add.reduceat(values, packed) + lengths.astype(np.uint64)), first
 
 
-def grams(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all runs of n words, also of those that cross texts."""
+def grams(words: np.ndarray, n: int, factor: np.uint64 = ODD) -> np.ndarray:
+    """Hashes of all runs of n words, also of those that cross texts; another odd factor gives an independent hash."""
     size = max(0, len(words) - n + 1)
     h = np.zeros(size, np.uint64)
     for i in range(n):
-        h = h * ODD + words[i : i + size]
+        h = h * factor + words[i : i + size]
     return mix(h + np.uint64(n))
 
 
