@@ -21,7 +21,6 @@ from tidemark.operators.drivers import driver_backtest_weights, driver_future
 from tidemark.operators.impute import time_interpolate
 from tidemark.operators.linear_models import center_panel, fit_linear, forecast_linear
 from tidemark.operators.target_models import forecast_models
-from tidemark.operators.tree_models import _tree_arrays, _walk
 from tidemark.settings import DEFAULTS
 from tidemark.sources.config import read_config
 
@@ -185,7 +184,7 @@ def test_ols_forecast_matches_row_level_solution(panel):
     """First holdout step of OLS from sums equals least squares on the rows."""
     folds = FO.make_folds(panel, 12).filter("fold = 2")
     future = FO.holdout_rows(panel, folds)
-    c = center_panel(panel, ["x1", "x2"])
+    c = center_panel(panel, ["x1", "x2"], folds)
     fits = fit_linear(c, folds, ["x1", "x2"], "M", ["ols"])
     got = {r["series_id"]: r["yhat"] for r in forecast_linear(fits, c, folds, future, ["x1", "x2"], "M").filter("step = 1").collect()}
     log = panel.withColumn("target", F.log("target"))
@@ -202,7 +201,7 @@ def test_ols_forecast_matches_row_level_solution(panel):
 def test_every_model_beats_the_naive_forecast(spark, panel):
     folds = FO.make_folds(panel, 12)
     future = FO.holdout_rows(panel, folds)
-    c = center_panel(panel, ["x1", "x2"])
+    c = center_panel(panel, ["x1", "x2"], folds)
     settings = DEFAULTS.with_(models=("elasticnet", "lasso", "ccemg", "sysgmm", "twfe", "arx", "holtwinters", "theta", "fourier_trend", "rf"), n_trees=10)
     fc = forecast_models(c, folds, future, ["x1", "x2"], "M", settings)
     both = fc.unionByName(M.naive_last(panel, folds))
@@ -254,14 +253,3 @@ def test_vif_prune_removes_copies_and_keeps_the_rest(spark, panel):
     assert values["x1"] == values["copy"] == float("inf") and values["flat"] == 1.0
     kept = {r["variable"] for r in I.vif_prune(S.corr_matrix(wide, names), names).filter("series_id = 'a'").collect()}
     assert kept == {"copy", "x2", "flat"}
-
-
-def test_printed_trees_predict_like_the_model(spark, panel):
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.regression import GBTRegressor
-
-    df = panel.select(F.array("x1", "x2").alias("x"), F.col("target").alias("label")).withColumn("features", array_to_vector("x"))
-    fit = GBTRegressor(maxIter=3, maxDepth=3, seed=1).fit(df)
-    rows = fit.transform(df).select("x", "prediction").collect()
-    got = _walk(_tree_arrays(fit.toDebugString), list(fit.treeWeights), np.array([r["x"] for r in rows]))
-    assert np.allclose(got, [r["prediction"] for r in rows])

@@ -22,7 +22,8 @@ from tidemark.operators.linear_models import LINEAR_MODELS, center_panel, fit_li
 from tidemark.operators.panel import to_long
 from tidemark.operators.recursion import explode_path, recursive_path
 from tidemark.operators.target_models import forecast_univariate
-from tidemark.operators.tree_models import forecast_pooled
+from tidemark.operators import trees as TR
+from tidemark.operators.tree_models import TREE_MODELS, fit_trees, forecast_pooled, forecast_trees, tree_rows
 from tidemark.plans.feature_selection import run_feature_selection
 from tidemark.plans.future_forecast import run_future_forecast
 from tidemark.plans.model_selection import run_model_selection
@@ -632,8 +633,44 @@ for _m in LINEAR_MODELS:
     query(f"model_{_m}", _FC)(_linear(_m))
 for _m in ("holtwinters", "theta", "fourier_trend"):
     query(f"model_{_m}", _FC)(lambda spark, sf, m=_m: forecast_univariate(*_centered(spark, sf), "M", [m]))
-for _m in ("rf", "gbt", "rff_regression"):
-    query(f"model_{_m}", _FC)(lambda spark, sf, m=_m: forecast_pooled(*_centered(spark, sf), DRIVERS, "M", [m]))
+for _m in TREE_MODELS:
+    query(f"model_{_m}", _FC)(lambda spark, sf, m=_m: forecast_trees(*_centered(spark, sf), DRIVERS, "M", [m]))
+query("model_gbt", _FC)(lambda spark, sf: forecast_trees(*_centered(spark, sf), DRIVERS, "M", TREE_MODELS[:3]))
+query("model_rff_regression", _FC)(lambda spark, sf: forecast_pooled(*_centered(spark, sf), DRIVERS, "M"))
+
+
+@query("tree_nodes", "series_id fold:i model tree:i node:i feature:i threshold:6 child:i value:6")
+def _(spark, sf):
+    c, folds, _ = _centered(spark, sf)
+    presets = {m: TR.PRESETS[m] for m in TREE_MODELS}
+    return TR.node_table(fit_trees(tree_rows(c, folds, DRIVERS, "M"), presets), ["series_id", "fold", "model"])
+
+
+def _log_rows(spark, sf):
+    """Drivers and log target of the training rows of every fold, long."""
+    p = panel(spark, sf)
+    rows = FO.training_rows(p, FO.make_folds(p, H)).withColumn("label", F.log("target"))
+    return rows.select("series_id", "fold", "period", "label", F.inline(F.array(*[
+        F.struct(F.lit(d).alias("variable"), F.col(d).alias("value")) for d in DRIVERS])))
+
+
+@query("tree_root_split", "series_id fold:i variable threshold:6 gain:6", """
+WITH samples AS (
+  SELECT l.series_id, f.fold, l.variable, round(l.value, 9) AS v, ln(p.target) AS y FROM long l JOIN panel p USING (series_id, period)
+  JOIN folds f ON f.series_id = l.series_id AND l.period <= f.train_end),
+bins AS (
+  SELECT series_id, fold, variable, v, m * count(*) - sum(y) AS g, count(*) AS h
+  FROM (SELECT *, avg(y) OVER (PARTITION BY series_id, fold, variable) AS m FROM samples) GROUP BY series_id, fold, variable, v, m),
+sums AS (
+  SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, lead(v) OVER w AS nx, sum(g) OVER a AS gt, sum(h) OVER a AS ht FROM bins
+  WINDOW w AS (PARTITION BY series_id, fold, variable ORDER BY v), a AS (PARTITION BY series_id, fold, variable)),
+gains AS (
+  SELECT *, greatest(abs(gl) - 0.1, 0) ** 2 / (hl + 1) + greatest(abs(gt - gl) - 0.1, 0) ** 2 / (ht - hl + 1)
+    - greatest(abs(gt) - 0.1, 0) ** 2 / (ht + 1) AS gain FROM sums WHERE hl >= 3 AND ht - hl >= 3 AND nx IS NOT NULL)
+SELECT series_id, fold, variable, (v + nx) / 2 AS threshold, gain FROM gains
+QUALIFY row_number() OVER (PARTITION BY series_id, fold, variable ORDER BY round(gain, 9) DESC, v) = 1""", "long folds")
+def _(spark, sf):
+    return TR.root_splits(_log_rows(spark, sf), ["series_id", "fold"], TR.PRESETS["gbt_xgboost"])
 
 
 # ---- jobs ----------------------------------------------------------------------------------

@@ -6,12 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import gram as G
+from tidemark.operators import trees as T
 from tidemark.operators.linear_models import CV_SLICES, L1_RATIOS
 from tidemark.operators.selection import standardize
 from tidemark.session import spread
@@ -53,37 +52,29 @@ def elasticnet_rank(panel: DataFrame, variables: Sequence[str], ratios: Sequence
     return _unstack(cells.withColumn("score", rank("g")), variables, "score")
 
 
-def _fit_trees(rows: DataFrame, settings: Settings, **extra):
-    """Boosted trees over the pooled rows (columns features, label)."""
-    params = dict(maxIter=settings.n_trees, maxDepth=4, stepSize=0.1, subsamplingRate=0.8, checkpointInterval=-1,
-                  featureSubsetStrategy="0.8", seed=settings.seed)
-    return GBTRegressor(featuresCol="features", labelCol="label", **{**params, **extra}).fit(rows)
-
-
 def tree_importance_rank(panel: DataFrame, variables: Sequence[str], settings: Settings = DEFAULTS) -> DataFrame:
-    """Mean |change of the prediction| when one driver is exchanged between periods of a series.
+    """Mean |change of the prediction| when one driver is exchanged between periods of a series, per series.
 
-    One boosted model learns from all series in z-scores; the exchange pairs the k-th
-    period with the k-th one in a hashed order, so it is repeatable and stays inside the
-    series. Scores come back in the units of each series' target.
+    Every series has boosted trees of its own. The exchange pairs the k-th period with the k-th one in a drawn order, so it is
+    repeatable and stays inside the series.
     """
-    w = Window.partitionBy("series_id")
-    z = standardize(panel.filter("target IS NOT NULL"), [*variables, "target"])
-    scale = panel.groupBy("series_id").agg(F.stddev_pop("target").alias("_sd"))
-    rows = z.select("series_id", "period", F.array(*variables).alias("x"), F.col("target").alias("label"))
-    train = rows.withColumn("features", array_to_vector("x")).select("features", "label")
-    model = _fit_trees(train, settings)
-    ranked = rows.withColumn("_k", F.row_number().over(w.orderBy("period")))
-    other = rows.withColumn("_k", F.row_number().over(w.orderBy(F.xxhash64(F.col("period"), F.lit(settings.seed)), "period")))
-    pairs = ranked.join(other.select("series_id", "_k", F.col("x").alias("x2")), ["series_id", "_k"])
-    swaps = pairs.select("series_id", "period", "x", "x2", F.explode(F.sequence(F.lit(0), F.lit(len(variables)))).alias("k"))
-    # Swap 0 changes nothing and serves as the base prediction.
-    mixed = F.transform("x", lambda v, i: F.when(i == F.col("k") - 1, F.col("x2")[i]).otherwise(v))
-    scored = model.transform(swaps.withColumn("features", array_to_vector(mixed)))
-    base = F.max(F.when(F.col("k") == 0, F.col("prediction"))).over(Window.partitionBy("series_id", "period"))
-    change = scored.withColumn("_d", F.abs(F.col("prediction") - base)).filter("k > 0")
-    out = change.groupBy("series_id", F.element_at(_names(variables), F.col("k")).alias("variable")).agg(F.avg("_d").alias("score"))
-    return out.join(scale, "series_id").select("series_id", "variable", (F.col("score") * F.col("_sd")).alias("score"))
+    params = T.PRESETS["importance"].with_(n_trees=settings.n_trees, seed=settings.seed)
+    rows = panel.filter("target IS NOT NULL").select("series_id", "period", F.array(*[F.col(v).cast("double") for v in variables]).alias("x"),
+                                                     F.col("target").alias("label"))
+    rows = rows.filter(F.forall("x", lambda v: v.isNotNull()))
+    series = rows.groupBy("series_id").agg(F.array_sort(F.collect_list(F.struct("period", "x", "label"))).alias("_r"))
+    series = spread(series.select("series_id", F.col("_r.x").alias("x"), F.col("_r.label").alias("y")), "series_id")
+
+    @F.pandas_udf("array<double>")
+    def score(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        out: list = []
+        for low in range(0, len(xs), T.TOGETHER):
+            x = [np.stack(v) for v in xs.iloc[low : low + T.TOGETHER]]
+            fits = T.fit_together(x, [np.asarray(v) for v in ys.iloc[low : low + T.TOGETHER]], params)
+            out += [T.exchange_importance(fit, own, settings.seed) for fit, own in zip(fits, x)]
+        return pd.Series(out)
+
+    return _unstack(series.withColumn("score", score("x", "y")), variables, "score")
 
 
 def linear_attribution(long: DataFrame, coefficients: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from tidemark.functions.calendar import freq_params
 from tidemark.operators import gram as G
 from tidemark.operators.linear_models import LINEAR_MODELS, fit_linear, forecast_linear
 from tidemark.operators.recursion import explode_path
-from tidemark.operators.tree_models import POOLED_MODELS, forecast_pooled
+from tidemark.operators.tree_models import POOLED_MODELS, TREE_MODELS, forecast_pooled, forecast_trees
 from tidemark.operators.univariate import ets_forecast, theta_forecast
 from tidemark.settings import DEFAULTS, UNIVARIATE_MODELS, Settings
 
@@ -78,7 +78,7 @@ def forecast_univariate(centered: DataFrame, folds: DataFrame, future: DataFrame
         parts.append(_rows(ets_forecast(arrays, freq).withColumn("_path", F.col("ets.path")), "_path", "holtwinters"))
     if "theta" in models:
         # The season test chooses its form by the sign of the log target itself.
-        logs = arrays.withColumns({"y": F.transform("y", lambda v: v + F.col("mu")), "mu": F.lit(0.0)})
+        logs = arrays.withColumnRenamed("mu", "_mean").withColumn("y", F.transform("y", lambda v: v + F.col("_mean"))).withColumn("mu", F.lit(0.0))
         parts.append(_rows(theta_forecast(logs, freq).withColumn("_path", F.col("theta.path")), "_path", "theta"))
     if "fourier_trend" in models:
         parts.append(_rows(fourier_trend(arrays, freq), "fourier_trend", "fourier_trend"))
@@ -105,9 +105,11 @@ def forecast_models(centered: DataFrame, folds: DataFrame, future: DataFrame, dr
     if linear:
         fits = fit_linear(centered, folds, drivers, freq, linear, settings)
         parts.append(forecast_linear(fits, centered, folds, future, drivers, freq, settings, clamp, linear))
-    pooled = [m for m in POOLED_MODELS if m in settings.models]
-    if pooled:
-        parts.append(forecast_pooled(centered, folds, future, drivers, freq, pooled, settings, clamp))
+    trees = [m for m in TREE_MODELS if m in settings.models]
+    if trees:
+        parts.append(forecast_trees(centered, folds, future, drivers, freq, trees, settings, clamp))
+    if set(POOLED_MODELS) & set(settings.models):
+        parts.append(forecast_pooled(centered, folds, future, drivers, freq, settings, clamp))
     univariate = [m for m in UNIVARIATE_MODELS if m in settings.models]
     if univariate:
         parts.append(forecast_univariate(centered, folds, future, freq, univariate))

@@ -1,24 +1,24 @@
-"""Non-linear target models pooled over the panel: forests, boosted trees, kernel features.
+"""Non-linear target models: trees per series, and kernel features pooled over the panel.
 
-Targets enter as log deviations from the mean of their series, so one model serves all
-series without a column of ids. Spark fits the models; the fitted trees and weights are
-a few thousand numbers whatever the size of the panel, so they travel with the task that
-rolls the forecasts of a batch of paths forward. No step needs a job or a shuffle.
+Trees are fitted per series and fold on log targets (see ``trees``). The kernel model is one Huber fit of Spark over all series
+per fold position; there, targets enter as log deviations from the mean of their series, so no column of ids is needed. Its
+weights are a few dozen numbers and travel with the task. Either way one task rolls the forecasts of a batch of paths
+forward together, and no step needs a job or a shuffle.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import calendar_features, calendar_names, freq_params
+from tidemark.operators import trees as T
 from tidemark.operators.features import (
     ROLLING, history_array, lag_names, make_target_features)
 from tidemark.operators.folds import training_rows
@@ -26,13 +26,8 @@ from tidemark.operators.linear_models import center_constants, center_future
 from tidemark.session import materialize, spread
 from tidemark.settings import DEFAULTS, Settings
 
-POOLED_MODELS = ("gbt", "rf", "rff_regression")
-# Presets in place of three boosting libraries: fewer iterations with larger steps.
-GBT_PRESETS = {
-    "lgbm": dict(stepSize=0.06, maxDepth=5, minInstancesPerNode=10),
-    "catboost": dict(stepSize=0.1, maxDepth=4, minInstancesPerNode=1),
-    "xgboost": dict(stepSize=0.1, maxDepth=4, minInstancesPerNode=3),
-}
+TREE_MODELS = ("gbt_lgbm", "gbt_catboost", "gbt_xgboost", "rf")
+POOLED_MODELS = ("rff_regression",)
 RFF_SIZE = 64
 
 
@@ -48,132 +43,134 @@ def _cosines(w: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.cos(x @ w.T + b) * np.sqrt(2.0 / RFF_SIZE)
 
 
-def _tree_arrays(text: str) -> list[tuple[np.ndarray, ...]]:
-    """(feature, threshold, left, right, value) of every tree in a printed ensemble."""
-    trees = []
-    for body in re.split(r"\n\s*Tree \d+[^\n]*:\n", text)[1:]:
-        lines = re.findall(r"(?:If \(feature (\d+) <= |Predict: )([-+.\deE]+)", body)
-        nodes: list[list[float]] = []
-
-        def read(at: int) -> tuple[int, int]:
-            feature, number = lines[at]
-            me = len(nodes)
-            if not feature:
-                nodes.append([0, np.inf, me, me, float(number)])
-                return me, at + 1
-            nodes.append([int(feature), float(number), 0, 0, 0.0])
-            nodes[me][2], at = read(at + 1)
-            nodes[me][3], at = read(at)
-            return me, at
-
-        read(0)
-        f, t, lo, hi, v = np.array(nodes).T
-        trees.append((f.astype(int), t, lo.astype(int), hi.astype(int), v))
-    return trees
-
-
-def _walk(trees, weights, x: np.ndarray) -> np.ndarray:
-    total = np.zeros(len(x))
-    rows = np.arange(len(x))
-    for (f, t, lo, hi, v), w in zip(trees, weights):
-        at = np.zeros(len(x), dtype=int)
-        while True:
-            nxt = np.where(x[rows, f[at]] <= t[at], lo[at], hi[at])
-            if (nxt == at).all():
-                break
-            at = nxt
-        total += w * v[at]
-    return total
-
-
-def _estimator(model: str, settings: Settings, preset: str):
-    common = dict(featuresCol="features", labelCol="label")
-    if model == "rf":
-        return RandomForestRegressor(numTrees=settings.n_trees, maxDepth=8, minInstancesPerNode=10, checkpointInterval=-1,
-                                     featureSubsetStrategy="0.7", seed=settings.seed, **common)
-    if model == "gbt":
-        return GBTRegressor(maxIter=settings.n_trees, subsamplingRate=0.8, checkpointInterval=-1, seed=settings.seed, **GBT_PRESETS[preset], **common)
-    return LinearRegression(loss="huber", regParam=0.01, maxIter=60, standardization=False, **common)
-
-
-def _fit_pooled(model: str, rows: DataFrame, n: int, settings: Settings, preset: str) -> Callable[[np.ndarray], np.ndarray]:
+def _fit_kernel(rows: DataFrame, n: int, settings: Settings) -> Callable[[np.ndarray], np.ndarray]:
     """Fit on Spark (columns x, label); returns the fitted function of a feature matrix."""
-    if model == "rff_regression":
-        x = F.col("x")
-        stats = rows.agg(F.array(*[F.avg(x[i]) for i in range(n)]).alias("m"),
-                         F.array(*[F.stddev_pop(x[i]) for i in range(n)]).alias("s")).first()
-        w, b = _kernel([(m, s or 1.0) for m, s in zip(stats["m"], stats["s"])], settings.seed)
+    x = F.col("x")
+    stats = rows.agg(F.array(*[F.avg(x[i]) for i in range(n)]).alias("m"),
+                     F.array(*[F.stddev_pop(x[i]) for i in range(n)]).alias("s")).first()
+    w, b = _kernel([(m, s or 1.0) for m, s in zip(stats["m"], stats["s"])], settings.seed)
 
+    @F.pandas_udf("array<double>")
+    def cosines(xs: pd.Series) -> pd.Series:
+        return pd.Series(list(_cosines(w, b, np.stack(xs.to_numpy()))))
+
+    estimator = LinearRegression(featuresCol="features", labelCol="label", loss="huber", regParam=0.01, maxIter=60, standardization=False)
+    fit = estimator.fit(rows.select("label", array_to_vector(cosines("x")).alias("features")))
+    coef, intercept = fit.coefficients.toArray(), fit.intercept
+    return lambda x: _cosines(w, b, x) @ coef + intercept
+
+
+def roll(predict: Callable[[np.ndarray], np.ndarray], past: np.ndarray, exog: np.ndarray, lo: np.ndarray, hi: np.ndarray,
+         n_lags: int, short: int, long: int) -> np.ndarray:
+    """Paths of several series side by side, each prediction fed back; a path that meets a missing value has none from there on."""
+    steps = exog.shape[1]
+    for t in range(steps):
+        a, b = past[:, -short:], past[:, -long:]
+        stats = np.column_stack([a.mean(1), b.mean(1), a.std(1, ddof=1), b.std(1, ddof=1)])
+        y = predict(np.column_stack([past[:, :-n_lags - 1:-1], exog[:, t], stats]))
+        past = np.column_stack([past, np.where(np.isfinite(y), np.clip(y, lo, hi), np.nan)])
+    return past[:, -steps:]
+
+
+def _roll_udf(n_lags: int, short: int, long: int, clamp: float | None, fitted: dict | None = None):
+    """Column function of (ensemble or fold position, history, known, mean, deviation) that returns the path."""
+    def batches(known: pd.Series):
+        for idx in known.groupby(known.map(len)).groups.values():
+            for low in range(0, len(idx), T.TOGETHER):
+                yield idx[low : low + T.TOGETHER]
+
+    def run(pick, history: pd.Series, known: pd.Series, mean: pd.Series, sd: pd.Series) -> pd.Series:
+        out = pd.Series([None] * len(history), index=history.index, dtype=object)
+        for idx in batches(known):
+            past = np.stack(history[idx].to_numpy())
+            exog = np.stack([np.stack(k).astype(float) for k in known[idx]])
+            reach = (clamp or np.inf) * np.maximum(sd[idx].to_numpy(), 1e-6)
+            path = roll(pick(idx), past, exog, mean[idx].to_numpy() - reach, mean[idx].to_numpy() + reach, n_lags, short, long)
+            out[idx] = pd.Series([p if np.isfinite(p).all() else None for p in path], index=idx)
+        return out
+
+    if fitted is None:
         @F.pandas_udf("array<double>")
-        def cosines(xs: pd.Series) -> pd.Series:
-            return pd.Series(list(_cosines(w, b, np.stack(xs.to_numpy()))))
+        def trees(ensemble: pd.DataFrame, history: pd.Series, known: pd.Series, mean: pd.Series, sd: pd.Series) -> pd.Series:
+            def pick(idx):
+                own = ensemble.loc[idx].to_dict("records")
+                return lambda x: T.predict_together(own, x, np.arange(len(x)))
 
-        fit = _estimator(model, settings, preset).fit(rows.select("label", array_to_vector(cosines("x")).alias("features")))
-        coef, intercept = fit.coefficients.toArray(), fit.intercept
-        return lambda x: _cosines(w, b, x) @ coef + intercept
-    fit = _estimator(model, settings, preset).fit(rows.select("label", array_to_vector("x").alias("features")))
-    trees, weights = _tree_arrays(fit.toDebugString), list(fit.treeWeights)
-    if model == "rf":
-        weights = [1 / len(trees)] * len(trees)
-    return lambda x: _walk(trees, weights, x)
+            return run(pick, history, known, mean, sd)
 
+        return trees
 
-def _roll_udf(fitted: dict, n_lags: int, short: int, long: int, clamp: float | None):
     @F.pandas_udf("array<double>")
-    def roll(pos: pd.Series, model: pd.Series, history: pd.Series, known: pd.Series, mean: pd.Series, sd: pd.Series) -> pd.Series:
+    def pooled(pos: pd.Series, history: pd.Series, known: pd.Series, mean: pd.Series, sd: pd.Series) -> pd.Series:
         out = pd.Series([None] * len(pos), index=pos.index, dtype=object)
-        steps = known.map(len)
-        for (p, name, h), idx in pos.groupby([pos, model, steps]).groups.items():
-            past = np.stack(history[idx].to_numpy())
-            exog = np.stack([np.stack(k) for k in known[idx]])
-            reach = (clamp or np.inf) * np.maximum(sd[idx].to_numpy(), 1e-6)
-            lo, hi = mean[idx].to_numpy() - reach, mean[idx].to_numpy() + reach
-            for t in range(h):
-                a, b = past[:, -short:], past[:, -long:]
-                stats = np.column_stack([a.mean(1), b.mean(1), a.std(1, ddof=1), b.std(1, ddof=1)])
-                x = np.column_stack([past[:, :-n_lags - 1:-1], exog[:, t], stats])
-                y = fitted[p, name](x)
-                past = np.column_stack([past, np.where(np.isfinite(y), np.clip(y, lo, hi), mean[idx])])
-            out[idx] = pd.Series(list(past[:, -h:]), index=idx)
+        for p, idx in pos.groupby(pos).groups.items():
+            out[idx] = run(lambda _, p=p: fitted[p], history[idx], known[idx], mean[idx], sd[idx])
         return out
 
-    return roll
+    return pooled
 
 
-def forecast_pooled(centered: DataFrame, folds: DataFrame, future: DataFrame, drivers: Sequence[str], freq: str,
-                    models: Sequence[str] = POOLED_MODELS, settings: Settings = DEFAULTS,
-                    clamp: bool = True, preset: str = "xgboost") -> DataFrame:
-    """(series_id, fold, model, step, period, yhat): one pooled fit per fold position and model."""
+def tree_rows(centered: DataFrame, folds: DataFrame, drivers: Sequence[str], freq: str, settings: Settings = DEFAULTS) -> DataFrame:
+    """(series_id, fold, period, x, label): the rows that trees and kernels learn from."""
     zs = [f"z_{d}" for d in drivers]
     names = [*lag_names(settings.n_lags), *zs, *calendar_names(freq), *ROLLING]
     feats = make_target_features(centered.select("series_id", "period", "y", *zs), zs, freq, "y", settings.n_lags)
     train = training_rows(feats.filter("y IS NOT NULL"), folds)
-    w = Window.partitionBy("series_id", "fold")
-    # Folds are numbered from the oldest; series with one fold share the latest position.
-    train = train.join(folds.select("series_id", "fold", (F.col("n_folds") - F.col("fold")).alias("_pos")), ["series_id", "fold"])
-    train = materialize(train.select("series_id", "fold", "_pos", F.array(*names).alias("x"), F.col("y").alias("label"))
-                        .withColumn("_m", F.avg("label").over(w)).withColumn("_s", F.stddev_pop("label").over(w)))
-    positions = [r["_pos"] for r in folds.select((F.col("n_folds") - F.col("fold")).alias("_pos")).distinct().collect()]
-    bands = train.groupBy("series_id", "fold", "_pos").agg(F.first("_m").alias("_m"), F.first("_s").alias("_s"))
+    return train.select("series_id", "fold", "period", F.array(*[F.col(n).cast("double") for n in names]).alias("x"), F.col("y").alias("label"))
+
+
+def fit_trees(train: DataFrame, presets: dict[str, T.TreeParams], keys: Sequence[str] = ("series_id", "fold")) -> DataFrame:
+    """(keys, model, trees): one ensemble per key and preset. A key has one row per period, so its rows fit in arrays."""
+    rows = train.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("period", "x", "label"))).alias("_r"))
+    rows = rows.select(*keys, F.col("_r.x").alias("x"), F.col("_r.label").alias("y"),
+                       F.explode(F.array(*[F.lit(m) for m in presets])).alias("model"))
+    fit = T.fit_udf(presets)
+    return spread(rows, *keys, "model").select(*keys, "model", fit("model", "x", "y").alias("trees"))
+
+
+def _paths(train: DataFrame, centered: DataFrame, folds: DataFrame, future: DataFrame, drivers: Sequence[str], freq: str,
+           settings: Settings) -> DataFrame:
+    """(series_id, fold, mu, history, mean and deviation in training, step, period, known): what a path needs to roll."""
+    bands = train.groupBy("series_id", "fold").agg(F.avg("label").alias("_m"), F.stddev_pop("label").alias("_s"))
     k = max(settings.n_lags, freq_params(freq)["roll_long"])
     history = history_array(training_rows(centered.select("series_id", "period", "y"), folds), "y", k, ("series_id", "fold"))
     fut = center_future(future, center_constants(centered, drivers), drivers)
-    known = F.array(*zs, *[c.cast("double") for c in calendar_features(F.col("period"), freq)])
+    known = F.array(*[f"z_{d}" for d in drivers], *[c.cast("double") for c in calendar_features(F.col("period"), freq)])
     steps = fut.groupBy("series_id", "fold").agg(
         F.first("mu").alias("mu"), F.array_sort(F.collect_list(F.struct("step", "period", known.alias("known")))).alias("steps"))
-    fitted = {}
-    for pos in positions:
-        rows = train.filter(F.col("_pos") == pos)
-        for model in models:
-            fitted[pos, model] = _fit_pooled(model, rows, len(names), settings, preset)
-    paths = steps.join(history, ["series_id", "fold"]).join(bands, ["series_id", "fold"]).filter(F.size("history") == k)
-    paths = spread(paths, "series_id", "fold").select(
-        "series_id", "fold", "_pos", "mu", "history", "_m", "_s", F.col("steps.step").alias("step"),
-        F.col("steps.period").alias("period"), F.col("steps.known").alias("known"),
-        F.explode(F.array(*[F.lit(m) for m in models])).alias("model"))
-    p = freq_params(freq)
-    roll = _roll_udf(fitted, settings.n_lags, p["roll_short"], p["roll_long"], settings.clamp_sigmas if clamp else None)
-    paths = paths.withColumn("path", roll("_pos", "model", "history", "known", "_m", "_s"))
+    return steps.join(history, ["series_id", "fold"]).join(bands, ["series_id", "fold"]).filter(F.size("history") == k).select(
+        "series_id", "fold", "mu", "history", "_m", "_s", F.col("steps.step").alias("step"),
+        F.col("steps.period").alias("period"), F.col("steps.known").alias("known"))
+
+
+def _path_rows(paths: DataFrame) -> DataFrame:
     rows = paths.select("series_id", "fold", "model", "mu", F.inline(F.arrays_zip("step", "period", "path")))
     return rows.select("series_id", "fold", "model", "step", "period", F.exp(F.col("path") + F.col("mu")).alias("yhat")
                        ).filter("yhat IS NOT NULL")
+
+
+def forecast_trees(centered: DataFrame, folds: DataFrame, future: DataFrame, drivers: Sequence[str], freq: str,
+                   models: Sequence[str] = TREE_MODELS, settings: Settings = DEFAULTS, clamp: bool = True) -> DataFrame:
+    """(series_id, fold, model, step, period, yhat): one ensemble per series, fold and model."""
+    train = materialize(tree_rows(centered, folds, drivers, freq, settings))
+    presets = {m: T.PRESETS[m].with_(n_trees=settings.n_trees, seed=settings.seed) for m in models}
+    fits = fit_trees(train, presets)
+    p = freq_params(freq)
+    step = _roll_udf(settings.n_lags, p["roll_short"], p["roll_long"], settings.clamp_sigmas if clamp else None)
+    paths = _paths(train, centered, folds, future, drivers, freq, settings).join(fits, ["series_id", "fold"])
+    return _path_rows(paths.withColumn("path", step("trees", "history", "known", "_m", "_s")))
+
+
+def forecast_pooled(centered: DataFrame, folds: DataFrame, future: DataFrame, drivers: Sequence[str], freq: str,
+                    settings: Settings = DEFAULTS, clamp: bool = True) -> DataFrame:
+    """(series_id, fold, model, step, period, yhat) of the kernel model: one fit per fold position over all series."""
+    # Folds are numbered from the oldest; series with one fold share the latest position.
+    places = folds.select("series_id", "fold", (F.col("n_folds") - F.col("fold")).alias("_pos"))
+    train = materialize(tree_rows(centered, folds, drivers, freq, settings).join(places, ["series_id", "fold"]))
+    n = settings.n_lags + len(drivers) + len(calendar_names(freq)) + len(ROLLING)
+    fitted = {r["_pos"]: _fit_kernel(train.filter(F.col("_pos") == r["_pos"]), n, settings) for r in places.select("_pos").distinct().collect()}
+    p = freq_params(freq)
+    step = _roll_udf(settings.n_lags, p["roll_short"], p["roll_long"], settings.clamp_sigmas if clamp else None, fitted)
+    paths = _paths(train, centered, folds, future, drivers, freq, settings).join(places, ["series_id", "fold"])
+    paths = spread(paths, "series_id", "fold").withColumn("model", F.lit("rff_regression"))
+    return _path_rows(paths.withColumn("path", step("_pos", "history", "known", "_m", "_s")))

@@ -11,7 +11,7 @@ HISTORY_WINDOW = {"M": 24, "W": 104, "Y": 2}
 
 # Model names in training order (ties keep this order) and their family.
 MODEL_ORDER = (
-    "gbt", "elasticnet", "arx", "holtwinters", "theta", "fourier_trend", "twfe", "sysgmm",
+    "gbt_lgbm", "gbt_catboost", "gbt_xgboost", "elasticnet", "arx", "holtwinters", "theta", "fourier_trend", "twfe", "sysgmm",
     "mg", "amg", "ccemg", "dccemg", "lasso", "rf", "rff_regression",
 )
 UNIVARIATE_MODELS = ("holtwinters", "theta", "fourier_trend")
@@ -47,7 +47,7 @@ class Settings:
     flat_ratio: float = 0.05
     jump_ratio: float = 0.5
     mi_bins: int = 5
-    n_trees: int = 20
+    n_trees: int = 500
     models: tuple[str, ...] = MODEL_ORDER
     seed: int = 42
 
