@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from plain import AWKWARD, bag, frame, near_copies
-from tidemark.llm import block_dedup, spans
+from tidemark.llm import block_dedup, hit_filter, spans
 
 
 def plain_runs(rows, length=13):
@@ -75,9 +75,11 @@ def test_passages_across_chunks_and_tasks(spark, monkeypatch):
             yield pa.RecordBatch.from_arrays([pa.array([d], pa.int64()), pa.array([0], pa.int64()), pa.array([t], pa.string())], texts.columns)
 
     class Every:
-        value = np.full(4 * 64 // 8, 255, np.uint8)
+        value = hit_filter.Filter(4, 64)
 
-    parts = [b for b in block_dedup._extend(13, 7, 4, 64, 1 << 20, Every())(batches())]
+    for bucket in range(4):
+        Every.value.put(bucket, b"\xff" * 8)
+    parts = [b for b in block_dedup._extend(13, 7, 4, 1 << 20, Every)(batches())]
     table = pa.Table.from_batches(parts)
     found = []
     for bucket in range(4):

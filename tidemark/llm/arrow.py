@@ -86,7 +86,17 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.kept_path = path
+    return table
+
+
+def consumed(*tables: DataFrame) -> None:
+    """Give back the space of hand-over tables that nothing will read again."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.kept_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def tasks(spark: SparkSession) -> int:
@@ -132,6 +142,21 @@ def rows_in_bitmap(shared, column: str, inside: bool):
     return run
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, also if it holds dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def chained(*steps):
+    """Functions of batches, one after the other in one worker."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    return run
+
+
 def without(rows: DataFrame, key: Column, removed: DataFrame, once: bool = False) -> DataFrame:
     """The rows whose key is not among the numbers in the one column of ``removed``; null keys stay.
 
@@ -141,7 +166,7 @@ def without(rows: DataFrame, key: Column, removed: DataFrame, once: bool = False
     columns = rows.columns
     removed = removed.toDF("removed_key").where("removed_key IS NOT NULL").distinct()
     shared = rows.sparkSession.sparkContext.broadcast(bitmap(removed, "removed_key"))
-    keyed = rows.select(key.cast("long").alias("row_key"), F.struct(*(rows[c] for c in columns)).alias("row"))
+    keyed = rows.select(key.cast("long").alias("row_key"), F.struct(*map(quoted, columns)).alias("row"))
     rest = keyed.mapInArrow(rows_in_bitmap(shared, "row_key", False), keyed.schema)
     maybe = keyed.mapInArrow(rows_in_bitmap(shared, "row_key", True), keyed.schema)
     stay = maybe.join(removed, F.col("row_key") == F.col("removed_key"), "left_anti")

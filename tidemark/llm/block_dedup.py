@@ -35,27 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import bitmap, chunks, kept, lists, rows_in_bitmap, settle, settled, text_buffer, text_chunks
+from tidemark.llm.arrow import bitmap, chained, chunks, kept, lists, rows_in_bitmap, settle, settled, text_buffer, text_chunks
+from tidemark.llm.hit_filter import SENT, bucket_of, by_bucket, codes, filters, sent, slice_bits
 from tidemark.llm.spans import DOC_SPANS, from_planes, ids_conflict, pack_spans, planes, runs, unite
-from tidemark.llm.words import ODD, SPACED, grams, mix, within_text, word_hashes
+from tidemark.llm.words import SPACED, grams, within_text, word_hashes
 
 LENGTH = 13
 BUCKET_BYTES = 6 << 20
 FILTER_BITS = 1 << 28
 REMEMBERED = 1 << 17
 OTHER = np.uint64(0xD6E8FEB86659FD93)
-LOW30 = np.uint64((1 << 30) - 1)
-
-
-def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    """The top half of the hash, scaled to the number of buckets."""
-    return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-
-
-def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(bucket, low, high) of every run of a sorted column."""
-    cuts = runs(bucket)
-    yield from zip(bucket[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(bucket)])
 
 
 def _scan(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
@@ -65,9 +54,6 @@ def _scan(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
     return words, first, row, np.arange(len(words)) - first[row]
 
 
-PROBES = "bucket long, rows int, packed binary"
-
-
 def _probe(length: int, block: int, buckets: int, chunk: int):
     """All rolling windows of a chunk, once each: 30 bits of hash, whether one is a block (1) and whether two ids hold it (2)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,57 +65,22 @@ def _probe(length: int, block: int, buckets: int, chunk: int):
             at = np.flatnonzero(stay)
             if not len(at):
                 continue
-            h = h[at]
-            code = (bucket_of(h, buckets) << np.uint64(32)) | ((h & LOW30) << np.uint64(2))
+            code = codes(h[at], buckets)
             order = np.argsort(code)
             code, at = code[order], at[order]
             new = runs(code)
             doc = rows.column("doc_id").to_numpy()[row[at]]
             whole = np.maximum.reduceat((place[at] % block == 0).astype(np.uint64), new)
             several = np.minimum.reduceat(doc, new) != np.maximum.reduceat(doc, new)
-            code = code[new] | whole | (several.astype(np.uint64) << np.uint64(1))
-            own, packed = [], []
-            for bucket, low, high in by_bucket(code >> np.uint64(32)):
-                own.append((bucket, high - low))
-                packed.append(planes(code[low:high].astype(np.uint32)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in own], pa.int64()), pa.array([n for _, n in own], pa.int32()), pa.array(packed, pa.binary())],
-                ["bucket", "rows", "packed"])
-
-    return run
-
-
-def _filter_places(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    """Three places of a 30-bit hash in its bucket's slice of the filter."""
-    x = mix(h * ODD + ODD)
-    return [(((x >> np.uint64(21 * i)) & np.uint64((1 << 21) - 1)) * np.uint64(bits) >> np.uint64(21)).astype(np.int64) for i in range(3)]
-
-
-def _hit_blocks(bits: int):
-    """Of one bucket: the filter of the blocks that windows of another document hit."""
-    def run(table: pa.Table) -> pa.Table:
-        codes = np.concatenate([from_planes(p, [np.uint32], [n])[0] for p, n in zip(table["packed"].to_pylist(), table["rows"].to_pylist())])
-        codes = np.sort(codes)
-        h = codes >> np.uint32(2)
-        new = runs(h)
-        flags = np.bitwise_or.reduceat(codes & np.uint32(3), new)
-        several = (np.diff(np.append(new, len(h))) > 1) | (flags >= 2)
-        hit = h[new][several & (flags & np.uint32(1) == 1)].astype(np.uint64)
-        out = np.zeros(bits, bool)
-        for place in _filter_places(hit, bits):
-            out[place] = True
-        return pa.table({"bucket": table["bucket"][:1].cast(pa.int64()), "bits": pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())})
+            yield sent(code[new] | whole | (several.astype(np.uint64) << np.uint64(1)))
 
     return run
 
 
-def in_filter(bloom: np.ndarray, h: np.ndarray, buckets: int, bits: int) -> np.ndarray:
-    base = bucket_of(h, buckets).astype(np.int64) * bits
-    found = np.ones(len(h), bool)
-    for place in _filter_places(h & LOW30, bits):
-        place += base
-        found &= (bloom[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-    return found
+def _hit_blocks(flags: np.ndarray, new: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray]:
+    """Hashes that are a block of one document and a window of another."""
+    flags = np.bitwise_or.reduceat(flags, new)
+    return (((counts > 1) | (flags >= 2)) & (flags & 1 == 1),)
 
 
 class Remembered:
@@ -158,14 +109,14 @@ RUNS = "bucket long, docs int, rows int, packed binary, spans binary"
 RUN_KINDS = [np.int64, np.int64, np.int32, np.int32, np.uint64]
 
 
-def _extend(length: int, block: int, buckets: int, bits: int, chunk: int, shared):
+def _extend(length: int, block: int, buckets: int, chunk: int, shared):
     """The runs around the blocks in the filter: the first ones packed by bucket, and the spans of those that repeat them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Remembered()
         for rows, data, offsets in text_chunks(batches, "text", chunk):
             words, first, row, place = _scan(rows, data, offsets)
             at = np.flatnonzero((place % block == 0) & (place + block <= np.diff(first)[row]))
-            at = at[in_filter(shared.value, grams(words, block)[at], buckets, bits)]
+            at = at[shared.value.holds(grams(words, block)[at])]
             # The runs that contain a block start at it or at one of the words before it.
             start = (at[:, None] + np.arange(length - block + 1)[None, :] - (length - block)).reshape(-1)
             own = np.repeat(row[at], length - block + 1)
@@ -186,15 +137,15 @@ def _extend(length: int, block: int, buckets: int, bits: int, chunk: int, shared
             high = doc[order][np.append(new[1:], len(order)) - 1]
             several = high != least
             known.add(h[order][new][several], least[several])
-            covered, sent = order[repeats], order[~repeats]
+            covered, first_ones = order[repeats], order[~repeats]
             if len(covered):
                 owners, spans = pack_spans(doc[covered], key[covered], start_in[covered], start_in[covered] + length, buckets)
                 yield _rows(owners, [None] * len(owners), [None] * len(owners), [None] * len(owners), spans)
-            sent = sent[np.lexsort((start[sent], bucket_of(grams(words, length, OTHER)[start[sent]], buckets)))]
-            bucket = bucket_of(grams(words, length, OTHER)[start[sent]], buckets)
-            out = ([], [], [], [])
-            for b, lo, hi in by_bucket(bucket):
-                part = sent[lo:hi]
+            bucket = bucket_of(grams(words, length, OTHER)[start[first_ones]], buckets)
+            order = np.lexsort((start[first_ones], bucket))
+            first_ones, out = first_ones[order], ([], [], [], [])
+            for b, lo, hi in by_bucket(bucket[order]):
+                part = first_ones[lo:hi]
                 begins = runs(own[part])
                 for values, value in zip(out, (b, len(begins), hi - lo, planes(
                         doc[part][begins], key[part][begins], np.diff(np.append(begins, hi - lo)).astype(np.int32), start_in[part].astype(np.int32), h[part]))):
@@ -249,18 +200,11 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, bucket_bytes: int = B
     texts = texts.where("doc_id IS NOT NULL")
     buckets = max(2, -(-size // bucket_bytes))
     chunk = max(2 << 20, min(32 << 20, buckets * 512))
-    bits = max(64, min(size // 3, filter_bits) // buckets // 8 * 8)
-
-    probes = texts.mapInArrow(_probe(length, block, buckets, chunk), PROBES)
-    slices = probes.groupBy("bucket").applyInArrow(settled(_hit_blocks(bits)), "bucket long, bits binary")
-    # One array of at most filter_bits bits, whatever the number of documents.
-    bloom = np.zeros(buckets * bits // 8, np.uint8)
-    for bucket, part in slices.toLocalIterator():
-        bloom[bucket * bits // 8 : (bucket + 1) * bits // 8] = np.frombuffer(part, np.uint8)
-    shared = spark.sparkContext.broadcast(bloom)
-
-    sent = texts.mapInArrow(_extend(length, block, buckets, bits, chunk, shared), RUNS)
-    spans = sent.groupBy("bucket").applyInArrow(settled(_covered(length, buckets)), "owner long, spans binary")
+    bits = slice_bits(size // 3, filter_bits, buckets)
+    probes = texts.mapInArrow(_probe(length, block, buckets, chunk), SENT)
+    shared = spark.sparkContext.broadcast(filters(probes, buckets, bits, _hit_blocks, ("hit",))[0])
+    extended = texts.mapInArrow(_extend(length, block, buckets, chunk, shared), RUNS)
+    spans = extended.groupBy("bucket").applyInArrow(settled(_covered(length, buckets)), "owner long, spans binary")
     return kept(spans.groupBy("owner").applyInArrow(settled(unite), DOC_SPANS), "word-spans"), keyed
 
 
@@ -303,7 +247,7 @@ def remove_repeated_runs(docs: DataFrame, length: int = LENGTH, doc_id: str = "d
     if not keyed:
         texts = texts.withColumn("text_key", F.lit(0).cast("long"))
     shared = spark.sparkContext.broadcast(bitmap(spans.select("doc_id").distinct(), "doc_id"))
-    whole = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", False), texts.schema).mapInArrow(_cut, RESULT)
+    whole = texts.mapInArrow(chained(rows_in_bitmap(shared, "doc_id", False), _cut), RESULT)
     cut = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), texts.schema).join(spans, ["doc_id", "text_key"], "left")
     return whole.unionByName(cut.mapInArrow(_cut, RESULT))
 
