@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from check_queries import compare, connect
 from plain import AWKWARD, bag, components, contamination, frame, near_copies, without_repeats
-from tidemark.llm import byte_bpe, chat, decontaminate, jaccard_join, queries, sharding, suffix_dedup, suffix_sort, top_k
+from tidemark.llm import byte_bpe, chat, decontaminate, hit_filter, jaccard_join, queries, sharding, spans, suffix_dedup, suffix_sort, top_k
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
@@ -235,7 +236,7 @@ def test_cover_meets_every_difference():
     assert all((r + suffix_sort.SHIFT[r, q]) % 8 in suffix_sort.COVER and (q + suffix_sort.SHIFT[r, q]) % 8 in suffix_sort.COVER for r in range(8) for q in range(8))
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_pieces": 3, "bucket_pieces": 40, "bucket_bytes": 4000}])
+@pytest.mark.parametrize("limits", [{}, {"hot_pieces": 3, "part_bytes": 900, "bucket_bytes": 4000}, {"chunk": 400, "filter_bits": 64}, {"hot_pieces": 0}])
 def test_repeats_are_cut_exactly(spark, limits):
     rng = np.random.default_rng(6)
     passage = "a passage of some length that many documents share, with é and more words until it is long enough"
@@ -249,6 +250,65 @@ def test_repeats_are_cut_exactly(spark, limits):
     assert bag(got) == bag(without_repeats(rows))
 
 
+def _spans_in_one_process(rows, buckets=3, hot=False):
+    """The collecting and the sorting step over single-row batches, with filters that let all pass."""
+    def batches():
+        for d, t in rows:
+            yield pa.RecordBatch.from_arrays([pa.array([d], pa.int64()), pa.array([0], pa.int64()), pa.array([t], pa.string())],
+                                             ["doc_id", "text_key", "text"])
+
+    class Held:
+        def __init__(self, every):
+            self.value = hit_filter.Filter(buckets, 64)
+            for bucket in range(buckets if every else 0):
+                self.value.put(bucket, b"\xff" * 8)
+
+    table = pa.Table.from_batches(list(suffix_dedup._collect(buckets, 1 << 20, Held(True), Held(hot))(batches())))
+    found = []
+    for bucket in range(buckets):
+        found += suffix_dedup._search(buckets, 4000)(table.filter(pa.compute.equal(table["bucket"], bucket)))["spans"].to_pylist()
+    return spans.merged(*spans.unpack_spans(found))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_bytes_decide_when_all_hashes_collide(monkeypatch, hot):
+    rng = random.Random(2)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(70))
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(40)) + (passage[i % 3 :] if i % 2 else "") + "tail" * rng.randrange(3)) for i in range(40)]
+    rows += [(50, rows[1][1]), (49, rows[1][1] + rows[3][1])]
+    monkeypatch.setattr(suffix_dedup, "contents", lambda words, start, size: np.zeros(len(start), np.uint64))
+    doc, _, start, stop = _spans_in_one_process(rows, hot=hot)
+    got = {}
+    for d, a, b in zip(doc.tolist(), start.tolist(), stop.tolist()):
+        got.setdefault(d, []).append((a, b))
+    want = {d: (removed, n) for d, _, removed, n, _ in without_repeats(rows) if n}
+    assert {d: (sum(b - a for a, b in x), len(x)) for d, x in got.items()} == want
+
+
+def test_what_a_task_remembers_is_bounded_and_true():
+    data = np.frombuffer(b"x" * 10 + b"the first of some strings that are long enough to be one" + b"y" * 60, np.uint8)
+    start, size = np.array([10, 66]), np.array([50, 50])
+    known = suffix_dedup.Remembered(limit=3)
+    content = np.array([5, 9], np.uint64)
+    known.add(content, np.array([7, 3]), data, start, size)
+    assert known.least(content, np.array([8, 2]), data, start, size).tolist() == [7, 2]
+    # An equal hash with other bytes, or another size, is no match.
+    assert known.least(content, np.array([8, 8]), data, start[::-1].copy(), size).tolist() == [8, 8]
+    assert known.least(content, np.array([8, 8]), data, start, size + 1).tolist() == [8, 8]
+    known.add(np.arange(100, 110, dtype=np.uint64), np.arange(10), data, np.full(10, 10), np.full(10, 50))
+    assert len(known.content) == 3
+
+
+def test_a_gram_with_very_many_pieces(spark):
+    """One phrase between random bytes in every document: all pieces of its gram differ, and are compared as windows."""
+    rng = random.Random(9)
+    rows = [(i, "".join(rng.choice("abcdefghij") for _ in range(60)) + " a phrase that is everywhere " + "".join(rng.choice("abcdefghij") for _ in range(60)))
+            for i in range(4000)]
+    rows += [(9000, rows[17][1][30:140]), (9001, "no")]
+    got = suffix_dedup.remove_repeats(frame(spark, rows), bucket_bytes=60_000).where("n_removed > 0").collect()
+    assert [(r.doc_id, r.n_removed, r.n_spans) for r in got] == [(9000, 110, 1)]
+
+
 def test_repeats_with_equal_ids_and_of_nothing(spark):
     long = "the same sixty bytes or so are in both rows of this one document id"
     got = suffix_dedup.remove_repeats(frame(spark, [(1, long), (1, long + " and more"), (2, "before " + long), (None, long)])).collect()

@@ -4,19 +4,24 @@ A byte goes if it lies in a LENGTH-byte string that also starts in a document wi
 together by content: every LENGTH-byte window belongs to its least GRAM-byte gram (by hash, the first on ties), and neighbouring windows
 with the same gram form one *piece* of at most LENGTH + REACH - 1 bytes. Equal windows lie in pieces of equal grams.
 
-1. Inside a chunk of the scan, equal pieces are collapsed: only those of the smallest id go on, the others are covered.
-2. By gram, in buckets of bounded size, equal pieces are collapsed over all documents. Only grams with different pieces
-   are left; those alone can hide strings that agree in part.
-3. The bytes of these pieces are dealt to buckets again, and there a suffix array is built block by block: suffixes
-   are sorted one bucket of leading bytes at a time, ties beyond them by the ranks of a difference-cover sample. Runs of
-   suffixes that agree in LENGTH bytes give the smallest id of every string. Pieces of a gram with very many different ones
-   are cut into single windows, which are collapsed before the shuffle and spread by their own hash, so that no gram
-   fills a task.
-4. Covered spans are united by document and cut out. Only documents that may have any are shuffled with their text.
+1. *Which grams do several documents hold?* Each chunk of the scan sends every gram's hash once, in 4 bytes; the answer is
+   a Bloom filter of bounded size. A second filter holds those among them that have very many different pieces.
+2. *Collect.* The bytes of the pieces whose gram is in the filter are dealt to buckets by gram; pieces of the second filter as single
+   windows, dealt by their own hash, so that no gram fills a task. Within a chunk rows of equal bytes are collapsed: only
+   those of the smallest id go on, the others are covered. What was collapsed is remembered by the task, in a table of
+   bounded size, for its later chunks, so a passage costs a few rows a task, however many documents share it.
+3. *Sort.* In every bucket the bytes are taken part by part (parts divide grams, never the pieces of one). Rows of equal bytes are
+   collapsed once more; the rest of a part gets a suffix array, built
+   block by block: suffixes are sorted one bucket of leading bytes at a time, ties beyond them by the ranks of a
+   difference-cover sample. Runs of suffixes that agree in LENGTH bytes give the smallest id of every string.
+4. *Cut.* Covered spans are united by document and cut out. Only documents that may have any are shuffled with their text.
+
+Hashes only choose what meets; whether strings are equal is decided by their bytes.
 
 Null and empty texts have nothing to remove; a document with a null id neither loses bytes nor counts as smaller;
 rows with equal ids do not affect each other; repeated rows are cut alike; an empty table gives an empty result; other columns
-are ignored. Whole pieces are compared by 88 bits of hash, strings inside pieces byte by byte.
+are ignored. A text is never split over chunks: a task holds about 60 times the longest text. Beyond ``filter_bits`` the filter lets
+more pieces pass, in the end all; the result is the same.
 """
 
 from __future__ import annotations
@@ -30,17 +35,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.arrow import bitmap, kept, lists, rows_in_bitmap, settled, text_buffer, text_chunks
+from tidemark.llm.arrow import bitmap, chained, chunks, kept, lists, quoted, rows_in_bitmap, settle, settled, text_buffer, text_chunks
+from tidemark.llm.hit_filter import SENT, bucket_of, by_bucket, codes, filters, sent, slice_bits
+from tidemark.llm.spans import DOC_SPANS, from_planes, ids_conflict, pack_spans, planes, runs, unite
 from tidemark.llm.suffix_sort import sorted_blocks, words_at
 from tidemark.llm.words import ODD, mix, sliding_min
 
 LENGTH, GRAM = 50, 20
 CHUNK = 1 << 20
 REACH = LENGTH - GRAM + 1
+LONGEST = LENGTH + REACH - 1
 BUCKET_BYTES = 6 << 20
-BUCKET_PIECES = 50_000
-HOT_PIECES = 10_000
-LOW48, LOW40 = np.uint64((1 << 48) - 1), np.uint64((1 << 40) - 1)
+PART_BYTES = 3 << 20
+FILTER_BITS = 1 << 28
+HOT_PIECES = 2_000
+REMEMBERED = 1 << 15
+# A chunk with more different pieces of one gram counts as many of them.
+MANY, MANY_COUNT = 64, 1_000
+
+
+def contents(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of the strings at the given places; ``words`` are the text's eight bytes from every place on."""
+    content = mix(size.astype(np.uint64) + ODD)
+    longest = int(size.max()) if len(size) else 0
+    for step in range(0, longest, 8):
+        # The last eight bytes of a string stand in for those that would lie beyond it.
+        content = mix(content * ODD + words[start + np.minimum(step, size - 8)])
+    return content
+
+
+def equal_bytes(words: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the strings of the given sizes at the places a and b agree."""
+    same = np.ones(len(a), bool)
+    for step in range(0, int(size.max()) if len(size) else 0, 8):
+        at = np.minimum(step, size - 8)
+        same &= words[a + at] == words[b + at]
+    return same
 
 
 def pieces(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -71,199 +101,146 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: in
         return none, none, none, none.view(np.uint64), none.view(np.uint64)
     counts = np.add.reduceat(whole.astype(np.int64), start)
     size = counts + length - 1
-    content = mix(size.astype(np.uint64) + ODD)
-    for step in (*range(0, length - 8, 8), -8, -16, -24, -32):
-        at = start + step if step >= 0 else start + size + step
-        content = mix(content * ODD + words[at])
+    content = contents(words, start, size)
     text = np.searchsorted(offsets, start, side="right") - 1
     return text, start - offsets[text], size, grams[least[start]], content
 
 
-def _first_of(group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by (group, doc), where a group begins, and for every row the least doc of its group."""
-    order = np.lexsort((doc, group))
-    own = group[order]
-    new = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
-    least = doc[order][new][np.cumsum(new) - 1] if len(own) else doc
-    return order, new, least
-
-
-SENT = "bucket int, base long, rows int, packed binary, spans binary"
-FOUND = "owner int, spans binary, doc_id long, text_key long, start int, stop int, gram long"
-
-
-def merged(doc: np.ndarray, key: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Maximal spans of every (doc, key)."""
-    if not len(doc):
-        return doc, key, start, stop
-    order = np.lexsort((start, key, doc))
-    doc, key, start, stop = doc[order], key[order], start[order], stop[order]
-    other = np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
-    # Ends so far within a document: documents are kept apart by a step larger than any text.
-    step = np.cumsum(other) * np.int64(1 << 32)
-    reach = np.maximum.accumulate(stop + step)
-    new = other | np.concatenate([[True], (start + step)[1:] > reach[:-1]])
-    last = np.append(np.flatnonzero(new)[1:] - 1, len(doc) - 1)
-    return doc[new], key[new], start[new], (reach - step)[last]
-
-
-def pack_spans(doc, key, start, stop, owners: int) -> list[tuple[int, bytes]]:
-    """Merged spans by owner, a bucket of documents."""
-    doc, key, start, stop = merged(np.asarray(doc, np.int64), np.asarray(key, np.int64), np.asarray(start, np.int64), np.asarray(stop, np.int64))
-    owner = (mix(doc.view(np.uint64)) % np.uint64(owners)).astype(np.int64)
-    order = np.argsort(owner, kind="stable")
-    cuts = np.flatnonzero(np.diff(owner[order], prepend=-1)).tolist()
-    out = []
-    for low, high in zip(cuts, [*cuts[1:], len(owner)]):
-        own = order[low:high]
-        out.append((int(owner[own[0]]), doc[own].tobytes() + key[own].tobytes() + start[own].astype(np.int32).tobytes() + stop[own].astype(np.int32).tobytes()))
-    return out
-
-
-def unpack_spans(packed: list[bytes]) -> tuple[np.ndarray, ...]:
-    parts = []
-    for raw in packed:
-        n = len(raw) // 24
-        parts.append((np.frombuffer(raw, np.int64, n), np.frombuffer(raw, np.int64, n, 8 * n), np.frombuffer(raw, np.int32, n, 16 * n).astype(np.int64),
-                      np.frombuffer(raw, np.int32, n, 20 * n).astype(np.int64)))
-    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else tuple(np.zeros(0, np.int64) for _ in range(4))
-
-
-def _pack(h, c, doc, key, start, size, base) -> bytes:
-    """Columns one after the other, the high halves of small numbers apart, so that they compress."""
-    low = lambda x, kind: x.astype(kind).tobytes()
-    d = (doc - base).astype(np.uint64)
-    return b"".join([
-        low(h & np.uint64(0xFFFFFFFF), np.uint32), low((h & LOW48) >> np.uint64(32), np.uint16),
-        low(c & np.uint64(0xFFFFFFFF), np.uint32), low((c & LOW40) >> np.uint64(32), np.uint8),
-        low(d & np.uint64(0xFFFF), np.uint16), low((d >> np.uint64(16)) & np.uint64(0xFFFF), np.uint16), low(d >> np.uint64(32), np.uint32),
-        low(start & 0xFFFF, np.uint16), low(start >> 16, np.uint16), low(size, np.uint8), low(key, np.int64) if key is not None else b""])
-
-
-def _unpack(packed: bytes, rows: int, base: int):
-    at, out = 0, []
-    kinds = [np.uint32, np.uint16, np.uint32, np.uint8, np.uint16, np.uint16, np.uint32, np.uint16, np.uint16, np.uint8]
-    for kind in kinds:
-        size = rows * np.dtype(kind).itemsize
-        out.append(np.frombuffer(packed[at : at + size], kind).astype(np.uint64))
-        at += size
-    h, c = out[0] | (out[1] << np.uint64(32)), out[2] | (out[3] << np.uint64(32))
-    doc = (out[4] | (out[5] << np.uint64(16)) | (out[6] << np.uint64(32))).astype(np.int64) + base
-    start, size = (out[7] | (out[8] << np.uint64(16))).astype(np.int64), out[9].astype(np.int64)
-    key = np.frombuffer(packed[at:], np.int64) if at < len(packed) else np.zeros(rows, np.int64)
-    return h, c, doc, key, start, size
-
-
-def _table(names: str, columns: list, rows: int) -> pa.RecordBatch:
-    """A batch with the given columns; those given as None are null."""
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    fields = [x.split() for x in names.split(", ")]
-    return pa.RecordBatch.from_arrays(
-        [pa.nulls(rows, kinds[k]) if c is None else pa.array(c, kinds[k]) for (_, k), c in zip(fields, columns)], [n for n, _ in fields])
-
-
-def _collapse(buckets: int, keyed: bool):
-    """Pieces of every chunk: the first ones, packed by bucket, and the spans of those that repeat them."""
+def _probe(buckets: int, chunk: int):
+    """The grams of a chunk, once each, with two flags: very many different pieces (1), two ids (2)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in text_chunks(batches, "text", CHUNK):
-            ids = rows.column(0).to_numpy()
-            keys = rows.column(1).to_numpy()
-            text, start, size, h, c = pieces(data, offsets)
+        for rows, data, offsets in text_chunks(batches, "text", chunk):
+            text, _, _, h, content = pieces(data, offsets)
             if not len(text):
                 continue
-            doc = ids[text]
-            order, _, least = _first_of(c, doc)
-            covered = order[doc[order] > least]
-            if len(covered):
-                spans = pack_spans(doc[covered], keys[text[covered]], start[covered], start[covered] + size[covered], buckets)
-                yield _table(SENT, [[x[0] for x in spans], None, None, None, [x[1] for x in spans]], len(spans))
-            first = order[doc[order] == least]
-            bucket = ((h[first] >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
-            by = np.argsort(bucket, kind="stable")
-            first, bucket = first[by], bucket[by]
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist() + [len(bucket)]
-            base, packed = int(ids.min()), []
-            for low, high in zip(cuts, cuts[1:]):
-                own = first[low:high]
-                packed.append(_pack(h[own], c[own], doc[own], keys[text[own]] if keyed else None, start[own], size[own], base))
-            yield _table(SENT, [bucket[cuts[:-1]], [base] * len(packed), np.diff(cuts), packed, None], len(packed))
-
-    return run
-
-
-def _compare(owners: int):
-    def run(table: pa.Table) -> pa.Table:
-        """Of one bucket: spans of pieces that repeat one of a smaller id, and the pieces whose gram has different ones."""
-        spans = [unpack_spans([x for x in table["spans"].to_pylist() if x is not None])]
-        table = table.filter(pa.compute.is_valid(table["packed"]))
-        rows = (np.zeros(0, np.int64),) * 5
-        if len(table):
-            parts = [_unpack(p, n, b) for p, n, b in zip(table["packed"].to_pylist(), table["rows"].to_pylist(), table["base"].to_pylist())]
-            h, c, doc, key, start, size = (np.concatenate(x) for x in zip(*parts))
-            del parts
-            order, _, least = _first_of(mix(h * ODD + c), doc)
-            repeat = doc[order] > least
-            covered, first = order[repeat], order[~repeat]
-            spans.append((doc[covered], key[covered], start[covered], start[covered] + size[covered]))
-            first = first[np.argsort(h[first], kind="stable")]
-            own = h[first]
-            new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            d = doc[first]
-            differ = np.minimum.reduceat(d, new) != np.maximum.reduceat(d, new)
-            left = first[np.repeat(differ, np.diff(np.append(new, len(own))))]
-            rows = (doc[left], key[left], start[left], start[left] + size[left], h[left].astype(np.int64))
-        packed = pack_spans(*(np.concatenate(x) for x in zip(*spans)), owners)
-        n, m = len(packed), len(rows[0])
-        names = [x.split()[0] for x in FOUND.split(", ")]
-        return pa.table([
-            pa.array([*(x[0] for x in packed), *[None] * m], pa.int32()), pa.array([*(x[1] for x in packed), *[None] * m], pa.binary()),
-            *(pa.concat_arrays([pa.nulls(n, kind), pa.array(x).cast(kind)]) for x, kind in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())))], names)
+            code = codes(h, buckets)
+            order = np.lexsort((content, code))
+            code, content = code[order], content[order]
+            new = runs(code)
+            doc = rows.column("doc_id").to_numpy()[text[order]]
+            several = np.minimum.reduceat(doc, new) != np.maximum.reduceat(doc, new)
+            first = np.concatenate([[True], (content[1:] != content[:-1]) | (code[1:] != code[:-1])])
+            many = np.add.reduceat(first.astype(np.int64), new) > MANY
+            yield sent(code[new] | many.astype(np.uint64) | (several.astype(np.uint64) << np.uint64(1)))
 
     return run
 
 
-PIECE = "bucket int, doc_id long, text_key long, start int, piece binary, spans binary"
+def _shared_grams(hot_pieces: int):
+    def choose(flags: np.ndarray, new: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Grams of several documents, and those among them that may have more than about ``hot_pieces`` pieces."""
+        shared = (counts > 1) | (np.maximum.reduceat(flags, new) >= 2)
+        many = np.add.reduceat((flags & 1).astype(np.int64), new)
+        return shared, shared & (counts + MANY_COUNT * many > hot_pieces)
+
+    return choose
+
+
+class Remembered:
+    """Strings that several documents of a task share, with the least id of each; starts anew when it is full."""
+
+    def __init__(self, limit: int = REMEMBERED):
+        self.limit = limit
+        self.content, self.doc = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.size, self.body = np.zeros(0, np.int64), np.zeros((0, LONGEST), np.uint8)
+
+    @staticmethod
+    def bodies(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        place = np.arange(LONGEST)
+        body = data[np.minimum(start[:, None] + place, len(data) - 1)]
+        body[place >= size[:, None]] = 0
+        return body
+
+    def least(self, content, doc, data, start, size) -> np.ndarray:
+        """For every string the smaller of ``doc`` and the id remembered for the same bytes."""
+        if not len(self.content) or not len(content):
+            return doc
+        at = np.minimum(np.searchsorted(self.content, content), len(self.content) - 1)
+        met = np.flatnonzero((self.content[at] == content) & (self.size[at] == size) & (self.doc[at] < doc))
+        met = met[(self.bodies(data, start[met], size[met]) == self.body[at[met]]).all(axis=1)]
+        out = doc.copy()
+        out[met] = self.doc[at[met]]
+        return out
+
+    def add(self, content, doc, data, start, size) -> None:
+        """Strings with different hashes; those known under a larger id are replaced."""
+        if len(self.content) + len(content) > self.limit:
+            self.__init__(self.limit)
+        n = self.limit
+        content, doc = np.concatenate([self.content, content[:n]]), np.concatenate([self.doc, doc[:n]])
+        body = np.concatenate([self.body, self.bodies(data, start[:n], size[:n])])
+        size = np.concatenate([self.size, size[:n]])
+        order = np.lexsort((doc, content))
+        own = order[runs(content[order])]
+        self.content, self.doc, self.size, self.body = content[own], doc[own], size[own], body[own]
+
+
+STRINGS = "bucket long, docs int, rows int, packed binary, body binary, spans binary"
+KINDS = [np.int64, np.int64, np.int32, np.int32, np.uint8, np.uint32]
+
+
+def _string_rows(bucket, docs, rows, packed, body, spans) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip((bucket, docs, rows, packed, body, spans), kinds)],
+                                      [x.split()[0] for x in STRINGS.split(", ")])
+
+
+def _strings(data: np.ndarray, offsets: np.ndarray, shared, hot):
+    """Text, start in the chunk, size, group and content of the strings to compare: shared pieces, and windows of hot ones."""
+    text, start, size, h, _ = pieces(data, offsets)
+    chosen = np.flatnonzero(shared.value.holds(h))
+    text, start, size, h = text[chosen], start[chosen] + offsets[text[chosen]], size[chosen], h[chosen]
+    warm = hot.value.holds(h)
+    counts = (size - LENGTH + 1)[warm]
+    shift = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    text = np.concatenate([text[~warm], np.repeat(text[warm], counts)])
+    start = np.concatenate([start[~warm], np.repeat(start[warm], counts) + shift])
+    size = np.concatenate([size[~warm], np.full(len(shift), LENGTH)])
+    words = words_at(data)
+    content = contents(words, start, size)
+    return text, start, size, np.concatenate([h[~warm], content[int((~warm).sum()) :]]), content, words
 
 
-def _cut_pieces(buckets: int, owners: int):
-    """The bytes of the wanted pieces; those of hot grams as single windows, collapsed within the batch."""
+def _collect(buckets: int, chunk: int, shared, hot):
+    """The strings of a chunk: the first ones packed by bucket, and the spans of those that repeat them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            # A batch holds few enough documents to unfold their pieces at once.
-            for i in range(0, len(batch), 256):
-                rows = batch.slice(i, 256)
-                data, offsets = text_buffer(rows.column("text"))
-                lengths = rows.column("wanted").value_lengths().to_numpy().astype(np.int64)
-                wanted = rows.column("wanted").flatten()
-                gram, start, stop = (wanted.field(n).to_numpy() for n in ("gram", "start", "stop"))
-                hot = wanted.field("hot").to_numpy(zero_copy_only=False)
-                row = np.repeat(np.arange(len(rows)), lengths)
-                ids, keys = rows.column("doc_id").to_numpy(), rows.column("text_key").to_numpy()
-                raw = data.tobytes()
-                at = offsets[row] + start
-                cool = np.flatnonzero(~hot)
-                if len(cool):
-                    bucket = (mix(gram[cool].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-                    yield _table(PIECE, [bucket, ids[row[cool]], keys[row[cool]], start[cool],
-                                         [raw[a : a + n] for a, n in zip(at[cool].tolist(), (stop - start)[cool].tolist())], None], len(cool))
-                warm = np.flatnonzero(hot)
-                if len(warm):
-                    counts = (stop - start)[warm] - LENGTH + 1
-                    row, begin = np.repeat(row[warm], counts), np.repeat(at[warm], counts)
-                    begin = begin + np.arange(len(begin)) - np.repeat(np.cumsum(counts) - counts, counts)
-                    words, content = words_at(data), np.full(len(begin), ODD, np.uint64)
-                    for step in (*range(0, LENGTH - 8, 8), LENGTH - 8):
-                        content = mix(content * ODD + words[begin + step])
-                    doc = ids[row]
-                    order, _, least = _first_of(content, doc)
-                    repeat, first = order[doc[order] > least], order[doc[order] == least]
-                    place = begin - offsets[row]
-                    if len(repeat):
-                        spans = pack_spans(doc[repeat], keys[row[repeat]], place[repeat], place[repeat] + LENGTH, owners)
-                        yield _table(PIECE, [[-1 - x[0] for x in spans], None, None, None, None, [x[1] for x in spans]], len(spans))
-                    bucket = (content[first] % np.uint64(buckets)).astype(np.int64)
-                    yield _table(PIECE, [bucket, doc[first], keys[row[first]], place[first],
-                                         [raw[a : a + LENGTH] for a in begin[first].tolist()], None], len(first))
+        known = Remembered()
+        for rows, data, offsets in text_chunks(batches, "text", chunk):
+            text, start, size, group, content, words = _strings(data, offsets, shared, hot)
+            if not len(text):
+                continue
+            doc, key = rows.column("doc_id").to_numpy()[text], rows.column("text_key").to_numpy()[text]
+            order = np.lexsort((doc, content))
+            new = runs(content[order])
+            counts = np.diff(np.append(new, len(order)))
+            one = order[new]
+            low = known.least(content[one], doc[one], data, start[one], size[one])
+            like = np.repeat(one, counts)
+            same = (size[order] == size[like]) & equal_bytes(words, start[order], start[like], np.minimum(size[order], size[like]))
+            repeats = same & (doc[order] > np.repeat(low, counts))
+            several = np.maximum.reduceat(repeats, new)
+            known.add(content[one][several], low[several], data, start[one][several], size[one][several])
+            covered, first = order[repeats], order[~repeats]
+            start_in = start - offsets[text]
+            if len(covered):
+                owners, spans = pack_spans(doc[covered], key[covered], start_in[covered], start_in[covered] + size[covered], buckets)
+                none = [None] * len(owners)
+                yield _string_rows(owners, none, none, none, none, spans)
+            bucket = bucket_of(mix(group[first]), buckets)
+            by = np.lexsort((start[first], bucket))
+            first, out = first[by], ([], [], [], [], [])
+            # All bytes to send, one string after the other.
+            ends = np.cumsum(size[first])
+            body = data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[first] - ends + size[first], size[first])].tobytes()
+            ends = np.concatenate([[0], ends])
+            for b, lo, hi in by_bucket(bucket[by]):
+                own = first[lo:hi]
+                begins = runs(text[own])
+                packed = planes(doc[own][begins], key[own][begins], np.diff(np.append(begins, hi - lo)).astype(np.int32),
+                                start_in[own].astype(np.int32), size[own].astype(np.uint8), group[own].astype(np.uint32))
+                for values, value in zip(out, (b, len(begins), hi - lo, packed, body[ends[lo] : ends[hi]])):
+                    values.append(value)
+            yield _string_rows(*out, [None] * len(out[0]))
 
     return run
 
@@ -281,33 +258,74 @@ def repeated_windows(text: np.ndarray, places: np.ndarray, docs: np.ndarray, len
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def _search(owners: int):
-    def run(table: pa.Table) -> pa.Table:
-        """Of one bucket of pieces: the spans that repeat a string of a smaller id, by a suffix array."""
-        data, offsets = text_buffer(table["piece"])
-        counts = np.diff(offsets) - LENGTH + 1
-        row = np.repeat(np.arange(len(counts)), counts)
-        places = np.repeat(offsets[:-1], counts) + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        doc = table["doc_id"].to_numpy()
-        found = repeated_windows(data, places, doc[row])
-        own = np.searchsorted(offsets, found, side="right") - 1
-        start = table["start"].to_numpy()[own] + found - offsets[own]
-        packed = pack_spans(doc[own], table["text_key"].to_numpy()[own], start, start + LENGTH, owners)
-        return pa.table([pa.array([x[0] for x in packed], pa.int32()), pa.array([x[1] for x in packed], pa.binary())], ["owner", "spans"])
-
-    return run
+def _joined(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of the given places and sizes, one after the other, and where each begins."""
+    size = size.astype(np.int64)
+    begin = np.cumsum(size) - size
+    return data[np.arange(size.sum()) + np.repeat(at - begin, size)], begin
 
 
-def _unite(table: pa.Table) -> pa.Table:
-    """Of one bucket of documents: every document's maximal spans."""
-    doc, key, start, stop = merged(*unpack_spans(table["spans"].to_pylist()))
-    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])) if len(doc) else np.zeros(0, np.int64)
-    counts = np.diff(np.append(new, len(doc)))
-    return pa.table([pa.array(doc[new]), pa.array(key[new]), lists(start, counts, pa.int64()), lists(stop, counts, pa.int64())], ["doc_id", "text_key", "starts", "stops"])
+def _collapse(text: np.ndarray, begin: np.ndarray, size: np.ndarray, doc: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The strings that are byte for byte one of a smaller id, and those that still have to be compared in part.
 
+    Of strings of equal bytes only the smallest id's can be the first place of what they hold; and a group whose remaining
+    strings are all of one id has nothing more to find.
+    """
+    words = words_at(text)
+    content = contents(words, begin, size)
+    order = np.lexsort((doc, content))
+    new = runs(content[order])
+    like = np.repeat(order[new], np.diff(np.append(new, len(order))))
+    same = (size[order] == size[like]) & equal_bytes(words, begin[order], begin[like], np.minimum(size[order], size[like]))
+    repeats = same & (doc[order] > doc[like])
+    left = order[~repeats]
+    left = left[np.argsort(group[left], kind="stable")]
+    new = runs(group[left])
+    if len(left):
+        several = np.minimum.reduceat(doc[left], new) != np.maximum.reduceat(doc[left], new)
+        left = left[np.repeat(several, np.diff(np.append(new, len(left))))]
+    return order[repeats], np.sort(left)
+
+
+def _search(owners: int, part_bytes: int):
+    """Of one bucket of strings: the spans that repeat a string of a smaller id, by suffix arrays; spans found before pass through."""
+    def run(table: pa.Table) -> pa.Table:
+        passed = table.filter(pa.compute.is_valid(table["spans"]))
+        table = table.filter(pa.compute.is_valid(table["packed"]))
+        out: list[tuple[np.ndarray, ...]] = []
+        if len(table):
+            columns = []
+            for raw, docs, n in zip(table["packed"].to_pylist(), table["docs"].to_pylist(), table["rows"].to_pylist()):
+                doc, key, counts, start, size, group = from_planes(raw, KINDS, [docs] * 3 + [n] * 3)
+                columns.append((np.repeat(doc, counts), np.repeat(key, counts), start, size, group))
+            doc, key, start, size, group = (np.concatenate(x) for x in zip(*columns))
+            del columns
+            data, _ = text_buffer(table["body"])
+            at = np.cumsum(size, dtype=np.int64) - size
+            parts = max(1, -(-len(data) // part_bytes))
+            part = (mix(group.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            for _, lo, hi in by_bucket(part[order]):
+                own = order[lo:hi]
+                text, begin = _joined(data, at[own], size[own])
+                repeats, left = _collapse(text, begin, size[own].astype(np.int64), doc[own], group[own])
+                whole = own[repeats]
+                out.append((doc[whole], key[whole], start[whole], start[whole] + size[whole]))
+                own = own[left]
+                text, begin = _joined(data, at[own], size[own])
+                counts = size[own].astype(np.int64) - LENGTH + 1
+                row = np.repeat(np.arange(len(own)), counts)
+                places = np.arange(len(row)) + np.repeat(begin - np.cumsum(counts) + counts, counts)
+                found = repeated_windows(text, places, doc[own][row])
+                row = np.searchsorted(begin, found, side="right") - 1
+                own = own[row]
+                first = start[own] + found - begin[row]
+                out.append((doc[own], key[own], first, first + LENGTH))
+        owner, spans = pack_spans(*(np.concatenate(x) for x in zip(*out)), owners) if out else ([], [])
+        return pa.table([pa.chunked_array([pa.array(owner, pa.int64()), *passed["bucket"].chunks]),
+                         pa.chunked_array([pa.array(spans, pa.binary()), *passed["spans"].chunks])], ["owner", "spans"])
 
-def _carried(kinds: str, carry: str) -> str:
-    return kinds + (f", carry {carry}" if carry else "")
+    return run
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, stops array<long>, kept_text binary"
@@ -315,69 +333,67 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        spans = (batch.column("starts"), batch.column("stops")) if "starts" in batch.schema.names else None
+        marked, carry = "starts" in batch.schema.names, [x for x in ("carry",) if x in batch.schema.names]
         data, offsets = text_buffer(batch.column("text"))
-        raw = data.tobytes()
-        out, starts, stops, counts = [], [], [], np.zeros(len(batch), np.int64)
-        for i in range(len(batch)):
-            body = raw[offsets[i] : offsets[i + 1]]
-            removed = 0
-            if spans is not None and spans[0][i].is_valid:
-                s, e = (x[i].values.to_numpy() for x in spans)
-                starts.append(s)
-                stops.append(e)
-                counts[i], removed = len(s), int((e - s).sum())
-                edges = [0, *np.stack([s, e], axis=1).reshape(-1).tolist(), len(body)]
-                body = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2]))
-            out.append((int(offsets[i + 1] - offsets[i]), removed, hashlib.sha256(body).hexdigest(), body))
-        flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, stops)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array(counts),
-             pa.array([r[2] for r in out], pa.string()), lists(flat[0], counts, pa.int64()), lists(flat[1], counts, pa.int64()),
-             pa.array([r[3] for r in out], pa.binary()), *([batch.column("carry")] if "carry" in batch.schema.names else [])],
-            [*(x.split()[0] for x in RESULT.split(", ")), *(["carry"] if "carry" in batch.schema.names else [])])
-
-
-def _conflicts(texts: DataFrame) -> bool:
-    """Whether different texts share an id."""
-    return bool(texts.groupBy("doc_id").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b")).where("a <> b").limit(1).count())
-
-
-def covered_spans(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES, bucket_pieces: int = BUCKET_PIECES, hot_pieces: int = HOT_PIECES) -> tuple[DataFrame, bool]:
+        for low, high in chunks(offsets):
+            rows, raw = batch.slice(low, high - low), data[offsets[low] : offsets[high]].tobytes()
+            at = (offsets[low : high + 1] - offsets[low]).tolist()
+            out, starts, stops, counts = [], [], [], np.zeros(len(rows), np.int64)
+            for i in range(len(rows)):
+                body, removed = raw[at[i] : at[i + 1]], 0
+                if marked and rows.column("starts")[i].is_valid:
+                    s, e = (rows.column(x)[i].values.to_numpy() for x in ("starts", "stops"))
+                    starts.append(s)
+                    stops.append(e)
+                    counts[i], removed = len(s), int((e - s).sum())
+                    edges = [0, *np.stack([s, e], axis=1).reshape(-1).tolist(), len(body)]
+                    body = b"".join(body[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                out.append((at[i + 1] - at[i], removed, hashlib.sha256(body).hexdigest(), body))
+            flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, stops)]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array(counts),
+                 pa.array([r[2] for r in out], pa.string()), lists(flat[0], counts, pa.int64()), lists(flat[1], counts, pa.int64()),
+                 pa.array([r[3] for r in out], pa.binary()), *(rows.column(x) for x in carry)],
+                [*(x.split()[0] for x in RESULT.split(", ")), *carry])
+    settle()
+
+
+def whole_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The kept bytes as text, in place of bytes and spans; bytes that form no whole character any more are left out."""
+    for batch in batches:
+        stay = [n for n in batch.schema.names if n not in ("starts", "stops", "kept_text")]
+        texts = [x.as_py().decode("utf-8", "ignore") for x in batch.column("kept_text")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in stay), pa.array(texts, pa.string())], [*stay, "whole_text"])
+
+
+def covered_spans(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES, part_bytes: int = PART_BYTES, filter_bits: int = FILTER_BITS,
+                  hot_pieces: int = HOT_PIECES, chunk: int = CHUNK) -> tuple[DataFrame, bool]:
     """doc_id, text_key and the sorted spans to remove of every document that has any, and whether text_key counts.
 
     ``texts`` has doc_id, text_key, text.
     """
-    spark = texts.sparkSession
+    context = texts.sparkSession.sparkContext
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    keyed = _conflicts(texts)
+    keyed = ids_conflict(texts)
     if not keyed:
         texts = texts.withColumn("text_key", F.lit(0).cast("long"))
     texts = texts.where("doc_id IS NOT NULL")
-    # A bucket gets the pieces of about bucket_bytes of text.
-    buckets = min(1 << 16, max(2, -(-size // bucket_bytes)))
-    sent = texts.mapInArrow(_collapse(buckets, keyed), SENT)
-    found = kept(sent.groupBy("bucket").applyInArrow(settled(_compare(buckets)), FOUND), "found")
-
-    left = found.where("gram IS NOT NULL")
-    many = left.groupBy("gram").count().where(F.col("count") > hot_pieces).select("gram", F.lit(True).alias("hot"))
-    wanted = left.join(many, "gram", "left").groupBy("doc_id", "text_key").agg(
-        F.collect_list(F.struct("gram", "start", "stop", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted"))
-    shared = spark.sparkContext.broadcast(bitmap(left.select("doc_id").distinct(), "doc_id"))
-    some = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), "doc_id long, text_key long, text string")
-    n = max(2, -(-left.count() // bucket_pieces))
-    # Copies of a row bring the same pieces once more, which changes nothing.
-    cut = kept(some.join(wanted, ["doc_id", "text_key"]).mapInArrow(_cut_pieces(n, buckets), PIECE), "piece-bytes")
-    searched = cut.where("bucket >= 0").groupBy("bucket").applyInArrow(settled(_search(buckets)), "owner int, spans binary")
-    spans = found.where("owner IS NOT NULL").select("owner", "spans").unionByName(searched).unionByName(
-        cut.where("bucket < 0").select((-1 - F.col("bucket")).alias("owner"), "spans"))
-    return kept(spans.groupBy("owner").applyInArrow(_unite, "doc_id long, text_key long, starts array<long>, stops array<long>"), "spans"), keyed
-
-
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None, **limits) -> DataFrame:
+    # A bucket gets the shared pieces of about bucket_bytes of text.
+    buckets = max(2, -(-size // bucket_bytes))
+    probes = texts.mapInArrow(_probe(buckets, chunk), SENT)
+    bits = slice_bits(size // 4, filter_bits, buckets)
+    shared, hot = (context.broadcast(x) for x in filters(probes, buckets, bits, _shared_grams(hot_pieces), ("shared", "hot")))
+    strings = texts.mapInArrow(_collect(buckets, chunk, shared, hot), STRINGS)
+    spans = strings.groupBy("bucket").applyInArrow(settled(_search(buckets, part_bytes)), "owner long, spans binary")
+    return kept(spans.groupBy("owner").applyInArrow(settled(unite), DOC_SPANS), "byte-spans"), keyed
+
+
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None,
+                   as_text: bool = False, **limits) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, the removed spans and the kept bytes of every row.
 
-    Columns listed in ``carry`` come along in a struct of that name.
+    Columns listed in ``carry`` come along in a struct of that name. ``as_text``: the kept bytes as text (``whole_text``)
+    in place of spans and bytes.
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -385,25 +401,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spans, keyed = covered_spans(texts, **limits)
     body_key = F.xxhash64(body) if keyed else F.lit(0).cast("long")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body_key.alias("text_key"), body.alias("text"),
-                        *([F.struct(*carry).alias("carry")] if carry else []))
-    struct = texts.schema["carry"].dataType.simpleString() if carry else ""
+                        *([F.struct(*map(quoted, carry)).alias("carry")] if carry else []))
+    carried = [texts.schema["carry"]] if carry else []
+    result = StructType([*StructType.fromDDL(RESULT).fields, *carried])
+    if as_text:
+        result = StructType([f for f in result.fields if f.name not in ("starts", "stops", "kept_text")]).add("whole_text", "string")
+    last = (_cut, whole_characters) if as_text else (_cut,)
     shared = spark.sparkContext.broadcast(bitmap(spans.select("doc_id").distinct(), "doc_id"))
-    kinds, result = _carried("doc_id long, text_key long, text string", struct), _carried(RESULT, struct)
-    whole = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", False), kinds).mapInArrow(_cut, result)
-    cut = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), kinds).join(spans, ["doc_id", "text_key"], "left").mapInArrow(_cut, result)
-    return whole.unionByName(cut)
-
-
-def with_text(schema: StructType) -> StructType:
-    return StructType([f for f in schema.fields if f.name not in ("starts", "stops", "kept_text")]).add("whole_text", "string")
-
-
-def whole_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The kept bytes as text, in place of bytes and spans; bytes that form no whole character any more are left out."""
-    for batch in batches:
-        stay = [n for n in batch.schema.names if n not in ("starts", "stops", "kept_text")]
-        texts = [x.as_py().decode("utf-8", "ignore") for x in batch.column("kept_text")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in stay), pa.array(texts, pa.string())], [*stay, "whole_text"])
+    whole = texts.mapInArrow(chained(rows_in_bitmap(shared, "doc_id", False), *last), result)
+    cut = texts.mapInArrow(rows_in_bitmap(shared, "doc_id", True), texts.schema).join(spans, ["doc_id", "text_key"], "left")
+    return whole.unionByName(cut.mapInArrow(chained(*last), result))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
