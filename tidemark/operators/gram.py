@@ -1,42 +1,37 @@
 """Sufficient statistics of linear fits.
 
-Each Arrow batch is reduced to one packed cross-product per key inside the task, Spark
-adds the packed entries up (map-side first), and only those sums travel. The number of
-rows behind a key therefore never matters to a single task. Entry (0, 0) is the row
-count: a leading 1 stands for the intercept.
+Each design row becomes its packed cross-product, and Spark adds these vectors up (map-side first, in the JVM), so only
+one sum per key and task travels. The number of rows behind a key therefore never matters to a single task. Entry (0, 0) is
+the row count: a leading 1 stands for the intercept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _partial_sums(keys: list[str]):
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for key, part in batch.groupby(keys, sort=False, dropna=False):
-                x = np.stack(part["x"].to_numpy())
-                x = np.column_stack([np.ones(len(x)), x])
-                g = x.T @ x
-                rows.append((*key, x.shape[1], g[np.triu_indices(x.shape[1])]))
-            yield pd.DataFrame(rows, columns=[*keys, "p", "g"])
+def _triangle(z: str) -> Column:
+    """Upper triangle of the products of an array's entries, row by row."""
+    return F.flatten(F.transform(z, lambda a, i: F.transform(F.slice(z, i + 1, F.size(z)), lambda b: a * b)))
 
-    return reduce
+
+def gram(design: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, g): the packed upper triangle of the cross-product of [1, x] per key."""
+    clean = design.filter("x IS NOT NULL AND NOT exists(x, v -> v IS NULL)")
+    rows = clean.select(*keys, F.concat(F.array(F.lit(1.0)), "x").alias("_z")).select(*keys, array_to_vector(_triangle("_z")).alias("_t"))
+    return rows.groupBy(*keys).agg(Summarizer.sum(F.col("_t")).alias("_s")).select(*keys, vector_to_array("_s").alias("g"))
 
 
 def gram_entries(design: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, p, pos, i, j, s): upper triangle of the cross-product of [1, x] per key."""
-    keys = list(keys)
-    schema = ", ".join(f"`{k}` {dict(design.dtypes)[k]}" for k in keys) + ", p bigint, g array<double>"
-    clean = design.filter("x IS NOT NULL AND NOT exists(x, v -> v IS NULL)").select(*keys, "x")
-    partial = clean.mapInPandas(_partial_sums(keys), schema)
-    sums = partial.select(*keys, "p", F.posexplode("g").alias("pos", "s")).groupBy(*keys, "p", "pos").agg(F.sum("s").alias("s"))
+    """(keys, p, pos, i, j, s): the same sums, one row per entry."""
+    p = (F.sqrt(8 * F.size("g") + 1) - 1) / 2
+    sums = gram(design, keys).select(*keys, F.round(p).cast("bigint").alias("p"), F.posexplode("g").alias("pos", "s"))
     # Row i of the triangle starts at i*p - i(i-1)/2.
     b = 2 * F.col("p") + 1
     i = F.floor((b - F.sqrt(b * b - 8 * F.col("pos"))) / 2).cast("int")
@@ -45,13 +40,6 @@ def gram_entries(design: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sums.withColumn("j", j.cast("int"))
 
 
-def gram(design: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, g): the packed triangle as one array per key."""
-    entries = gram_entries(design, keys)
-    packed = F.array_sort(F.collect_list(F.struct("pos", "s")))
-    return entries.groupBy(*keys).agg(packed.getField("s").alias("g"))
-
-
 # ---- small dense algebra on one key's sums -------------------------------------------------
 
 

@@ -103,9 +103,23 @@ def exog_array(layout: str, drivers: Sequence[str], freq: str) -> Column:
     return F.concat(z, _calendar_array(freq))
 
 
-def design_rows(centered: DataFrame, folds: DataFrame, drivers: Sequence[str], freq: str,
-                layouts: Sequence[str], settings: Settings = DEFAULTS) -> DataFrame:
-    """(series_id, fold, layout, mg_block, cv_slice, x) with y as the last entry of x."""
+def fold_sizes(feats: DataFrame, folds: DataFrame) -> DataFrame:
+    """(series_id, fold, n, mg_size, cv_first, cv_test): how many rows a fold trains on, and how they part."""
+    rows = feats.select("series_id", "period").join(folds.select("series_id", "fold", "train_end"), "series_id")
+    out = rows.groupBy("series_id", "fold").agg(F.count_if(F.col("period") <= F.col("train_end")).alias("n")).filter("n > 0")
+    test = F.greatest(F.floor(F.col("n") / (CV_SLICES + 1)), F.lit(1))
+    return out.withColumns({"mg_size": F.greatest(F.lit(MG_MIN_WINDOW), F.floor(F.col("n") / MG_SPLITS)), "cv_test": test,
+                            "cv_first": F.col("n") - CV_SLICES * test})
+
+
+def design_rows(centered: DataFrame, folds: DataFrame, drivers: Sequence[str], freq: str, layouts: Sequence[str],
+                settings: Settings = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """(series_id, layout, segment, x) with y as the last entry of x, and the sizes of the folds.
+
+    A row belongs to one stretch of time between two cuts; cuts are the ends of folds, mean-group windows and
+    cross-validation slices of all folds of a series. So each row is summed once, whatever the number of folds; ``segment`` is
+    the number of the stretch's first row.
+    """
     season = freq_params(freq)["season"]
     w = Window.partitionBy("series_id").orderBy("period")
     zs = [f"z_{d}" for d in drivers]
@@ -120,18 +134,15 @@ def design_rows(centered: DataFrame, folds: DataFrame, drivers: Sequence[str], f
     feats = make_target_features(base, zs, freq, "y", settings.n_lags, keep=["z__mean", *extra])
     feats = feats.filter("y IS NOT NULL").withColumn(
         "lag_mean", F.coalesce(F.lag("z__mean").over(w), F.col("z__mean")))
-    rows = training_rows(feats, folds)
-    by_fold = Window.partitionBy("series_id", "fold")
-    rows = rows.withColumns({
-        "_n": F.count(F.lit(1)).over(by_fold), "_rn": F.row_number().over(by_fold.orderBy("period")) - 1,
-        "y0": F.min(F.year("period")).over(by_fold), "y1": F.max(F.year("period")).over(by_fold),
-    })
-    size = F.greatest(F.lit(MG_MIN_WINDOW), F.floor(F.col("_n") / MG_SPLITS))
-    test = F.greatest(F.floor(F.col("_n") / (CV_SLICES + 1)), F.lit(1))
-    first = F.col("_n") - CV_SLICES * test
+    sizes = fold_sizes(feats, folds)
+    cuts = sizes.groupBy("series_id").agg(F.max("n").alias("_n"), F.array_distinct(F.flatten(F.collect_list(F.concat(
+        F.array("n"), F.transform(F.sequence(F.lit(0), F.floor(F.col("n") / F.col("mg_size"))), lambda k: k * F.col("mg_size")),
+        F.transform(F.sequence(F.lit(0), F.lit(CV_SLICES)), lambda k: F.col("cv_first") + k * F.col("cv_test")))))).alias("_cuts"))
+    rows = feats.join(cuts, "series_id").withColumn("_rn", F.row_number().over(w) - 1).filter(F.col("_rn") < F.col("_n"))
+    whole = Window.partitionBy("series_id")
     rows = rows.withColumns({
-        "mg_block": F.floor(F.col("_rn") / size).cast("int"),
-        "cv_slice": F.when(F.col("_rn") < first, 0).otherwise(1 + F.floor((F.col("_rn") - first) / test)).cast("int"),
+        "segment": F.array_max(F.filter("_cuts", lambda c: c <= F.col("_rn"))),
+        "y0": F.min(F.year("period")).over(whole), "y1": F.max(F.year("period")).over(whole),
     })
     own = F.array(*lag_names(settings.n_lags), *ROLLING)
     variants = []
@@ -139,11 +150,17 @@ def design_rows(centered: DataFrame, folds: DataFrame, drivers: Sequence[str], f
         known = exog_array(layout, drivers, freq)
         x = (F.concat(F.array("dy_1", "dy_m"), known, F.array("dy")) if layout == "differenced"
              else F.concat(own, known, F.array("y")))
-        blocks = layout == "base"
-        variants.append(F.struct(
-            F.lit(layout).alias("layout"), (F.col("mg_block") if blocks else F.lit(0)).alias("mg_block"),
-            (F.col("cv_slice") if blocks else F.lit(0)).alias("cv_slice"), x.alias("x")))
-    return rows.select("series_id", "fold", F.inline(F.array(*variants)))
+        variants.append(F.struct(F.lit(layout).alias("layout"), x.alias("x")))
+    return rows.select("series_id", "segment", F.inline(F.array(*variants))), sizes
+
+
+def fold_cells(sums: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(series_id, fold, layout, cells): the sums of every fold's stretches, with their window and slice."""
+    rows = sums.join(sizes, "series_id").filter("segment < n")
+    late = 1 + F.floor((F.col("segment") - F.col("cv_first")) / F.col("cv_test"))
+    cell = F.struct(F.floor(F.col("segment") / F.col("mg_size")).cast("int").alias("mg_block"),
+                    F.when(F.col("segment") < F.col("cv_first"), 0).otherwise(late).cast("int").alias("cv_slice"), "segment", "g")
+    return rows.groupBy("series_id", "fold", "layout").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
 
 
 def _sum_by(labels, sums: list[np.ndarray]) -> list[np.ndarray]:
@@ -235,10 +252,8 @@ def fit_linear(centered: DataFrame, folds: DataFrame, drivers: Sequence[str], fr
     Rolling means are linear in the lags, so their weights are merged into ``phi``.
     """
     layouts = [la for la, ms in LAYOUT_MODELS.items() if set(ms) & set(models)]
-    design = design_rows(centered, folds, drivers, freq, layouts, settings)
-    sums = G.gram(design, ["series_id", "fold", "layout", "mg_block", "cv_slice"])
-    cells = spread(sums, "series_id", "fold", "layout").groupBy("series_id", "fold", "layout").agg(
-        F.array_sort(F.collect_list(F.struct("mg_block", "cv_slice", "g"))).alias("cells"))
+    design, sizes = design_rows(centered, folds, drivers, freq, layouts, settings)
+    cells = spread(fold_cells(G.gram(design, ["series_id", "layout", "segment"]), sizes), "series_id", "fold", "layout")
     wanted = F.create_map(*[x for la in layouts for x in (
         F.lit(la), F.array(*[F.lit(m) for m in LAYOUT_MODELS[la] if m in models]))])
     jobs = cells.select("*", F.explode(F.element_at(wanted, F.col("layout"))).alias("model"))
@@ -261,13 +276,13 @@ def forecast_linear(fits: DataFrame, centered: DataFrame, folds: DataFrame, futu
     history = history_array(train, "y", k, ("series_id", "fold"))
     last = train.groupBy("series_id", "fold").agg(
         F.max_by(F.struct(F.lit(0).alias("_"), *[F.col(f"z_{d}").alias(d) for d in drivers]), "period").alias("last"))
-    # Year range of the rows that have all lags, as in the design.
+    # Year range of the rows that have all lags, over all folds of a series, as in the design.
     ready = train.withColumn("_rn", F.row_number().over(Window.partitionBy("series_id", "fold").orderBy("period")))
     lost = max(settings.n_lags, p["roll_long"])
-    years = ready.filter(F.col("_rn") > lost).groupBy("series_id", "fold").agg(
+    years = ready.filter(F.col("_rn") > lost).groupBy("series_id").agg(
         F.min(F.year("period")).alias("y0"), F.max(F.year("period")).alias("y1"))
     w = Window.partitionBy("series_id", "fold").orderBy("step")
-    fut = fut.join(years, ["series_id", "fold"]).join(last, ["series_id", "fold"])
+    fut = fut.join(years, "series_id").join(last, ["series_id", "fold"])
     fut = fut.withColumns({
         f"d_{d}": F.col(f"z_{d}") - F.coalesce(F.lag(f"z_{d}").over(w), F.col(f"last.{d}")) for d in drivers})
     layouts = [la for la, ms in LAYOUT_MODELS.items() if set(ms) & set(models)]
