@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import kept
+from tidemark.llm.arrow import consumed, kept
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -29,7 +29,8 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        pairs = kept(small.where("u <> v").distinct(), "links")
+        last, pairs = pairs, kept(small.where("u <> v").distinct(), "links")
+        consumed(last)
         before, state = state, _state(pairs)
         if before == state:
             break

@@ -10,7 +10,8 @@ Which pairs are counted:
 1. *Hubs.* Sets with an equal min-hash meet in a group; each is paired with the group's first set only, and of
    these pairs a set keeps the HUBS likeliest. That is linear in the size of every group and joins nearly all copies to components.
 2. *The rest, exactly.* Two linked sets share an n-gram among their first ones in the global order (rare n-grams
-   first, by a counting sketch of fixed size; then by hash). Only pairs of sets that step 1 left in different components
+   first, by a counting sketch of fixed size; then by hash). One document stands for each set; which of these n-grams two sets
+   share is told by a filter of bounded size, so that only those become rows. Only pairs of sets that step 1 left in different components
    are taken, with the usual bounds on sizes and positions. Inside a shared n-gram the sets of one component are first
    taken together, so that a large group of copies is no quadratic group. No link between components is lost.
 
@@ -31,8 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import bitmap, in_bitmap, kept, lists, rows_in_bitmap, text_chunks
+from tidemark.llm.arrow import bitmap, consumed, kept, lists, rows_in_bitmap, text_chunks
 from tidemark.llm.components import components
+from tidemark.llm.hit_filter import SENT, codes, filters, sent, slice_bits
+from tidemark.llm.spans import runs
 from tidemark.llm.words import SPACED, grams, mix, word_hashes
 
 FRAGMENT_BITS = 3
@@ -40,6 +43,8 @@ HUB_KEYS = 8
 HUBS = 2
 SKETCH_BITS = 21
 SLICES = 32
+BUCKET_BYTES = 6 << 20
+FILTER_BITS = 1 << 28
 KEY_SEEDS = mix(np.arange(1, HUB_KEYS + 1, dtype=np.uint64) << np.uint64(32))
 SET_SEED = np.uint64(0x5851F42D4C957F2D)
 
@@ -114,6 +119,9 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
     """Rank of frequency for each cell: an array of fixed size, whatever the number of documents."""
     rows = scanned.where("slice IS NOT NULL").select("slice", "counts", "wide").groupBy("slice").applyInArrow(
         _add_slices, "slice int, ranks binary").collect()
+    if not rows:
+        # An input without partitions.
+        return np.zeros(1 << SKETCH_BITS, np.uint16)
     return np.concatenate([np.frombuffer(r[1], np.uint16) for r in sorted(rows, key=lambda r: r[0])])
 
 
@@ -133,41 +141,55 @@ def _segments(n: int, shared):
     return run
 
 
-def _prefixes(n: int, num: int, den: int, shared):
-    """Of every set the n-grams that one of any linked partner's must be among, in the global order."""
+def _prefixes(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, ranks: np.ndarray, chosen):
+    """Of every set of the chosen documents the n-grams that one of any linked partner's must be among, in the global order.
+
+    Yields a chunk's rows, the sets' ids and sizes, and set, place and rank within the set of all those n-grams.
+    """
+    for rows, data, offsets in text_chunks(rows_in_bitmap(chosen, "doc_id", True)(batches), "text"):
+        hashes, sizes = shingle_sets(data, offsets, n)
+        order = ranks[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
+        # The place in the global order stands for the n-gram from here on.
+        place = (order << np.uint64(48)) | (mix(hashes) >> np.uint64(16))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = place[np.lexsort((place, row))]
+        within = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        counts = sizes - -(-num * sizes // den) + 1
+        stay = within < counts[row]
+        yield rows, set_ids(hashes, sizes), sizes, row[stay], place[stay], within[stay]
+
+
+def _prefix_codes(n: int, num: int, den: int, ranks, chosen, buckets: int):
+    """Places of a chunk, once each, and whether two sets hold it (2)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = shared.value
-        for rows, data, offsets in text_chunks(batches, "text"):
-            hashes, sizes = shingle_sets(data, offsets, n)
-            order = ranks[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
-            # The place in the global order stands for the n-gram from here on.
-            place = (order << np.uint64(48)) | (mix(hashes) >> np.uint64(16))
-            first, counts = [], np.zeros(len(sizes), np.int64)
-            at = np.cumsum(sizes) - sizes
-            for d in np.flatnonzero(sizes):
-                size = int(sizes[d])
-                counts[d] = size - -(-num * size // den) + 1
-                first.append(np.sort(place[at[d] : at[d] + size])[: counts[d]])
-            flat = np.concatenate(first) if first else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(set_ids(hashes, sizes)), pa.array(sizes), lists(flat.view(np.int64), counts, pa.int64())],
-                ["doc_id", "set_id", "n", "places"])
+        for _, sets, _, row, place, _ in _prefixes(batches, n, num, den, ranks.value, chosen):
+            if not len(place):
+                continue
+            code = codes(mix(place), buckets)
+            order = np.argsort(code)
+            code, own = code[order], sets[row[order]]
+            new = runs(code)
+            several = np.minimum.reduceat(own, new) != np.maximum.reduceat(own, new)
+            yield sent(code[new] | (several.astype(np.uint64) << np.uint64(1)))
 
     return run
 
 
-def _shared_places(shared):
+def _held_twice(flags: np.ndarray, new: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray]:
+    return ((counts > 1) | (np.maximum.reduceat(flags, new) >= 2),)
+
+
+PLACES = "doc_id long, set_id long, n long, place long, at long"
+
+
+def _shared_places(n: int, num: int, den: int, ranks, chosen, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lengths = batch.column(3).value_lengths().to_numpy().astype(np.int64)
-            places = batch.column(3).flatten().to_numpy()
-            stay = in_bitmap(shared.value, places)
-            row = np.repeat(np.arange(len(lengths)), lengths)
-            within = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            chosen = pa.array(row[stay])
+        for rows, sets, sizes, row, place, within in _prefixes(batches, n, num, den, ranks.value, chosen):
+            stay = shared.value.holds(mix(place))
+            row, ids = row[stay], rows.column("doc_id").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i).take(chosen) for i in range(3)), pa.array(places[stay]), pa.array(within[stay])],
-                ["doc_id", "set_id", "n", "place", "at"])
+                [pa.array(ids[row]), pa.array(sets[row]), pa.array(sizes[row]), pa.array(place[stay].view(np.int64)), pa.array(within[stay])],
+                [x.split()[0] for x in PLACES.split(", ")])
 
     return run
 
@@ -205,18 +227,25 @@ def _hub_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
         F.col("h.hub.set_id").alias("b"), F.col("h.hub.doc_id").alias("b_doc"), F.col("h.hub.n").alias("b_n"))
 
 
-def _pairs_between(prefixes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of sets in different components that could link, by a shared place among their first ones."""
-    spark = prefixes.sparkSession
-    places = prefixes.select("set_id", F.explode("places").alias("place")).groupBy("place").agg(
-        F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low <> high").select("place")
-    places = kept(places, "shared-places")
-    shared = spark.sparkContext.broadcast(bitmap(places, "place"))
-    rows = prefixes.mapInArrow(_shared_places(shared), "doc_id long, set_id long, n long, place long, at long")
-    rows = rows.join(sets.select("doc_id", "set_id", "component"), ["doc_id", "set_id"])
+def _place_rows(texts: DataFrame, sets: DataFrame, n: int, num: int, den: int, ranks, bucket_bytes: int, filter_bits: int) -> DataFrame:
+    """doc_id, set_id, n, place, at, component of all first places that sets of several components share."""
+    context = texts.sparkSession.sparkContext
+    # One document stands for every set.
+    chosen = context.broadcast(bitmap(sets.select("doc_id"), "doc_id"))
+    grams_all = sets.agg(F.sum("n")).first()[0] or 0
+    buckets = max(2, -(-4 * grams_all // bucket_bytes))
+    probes = texts.mapInArrow(_prefix_codes(n, num, den, ranks, chosen, buckets), SENT)
+    shared = context.broadcast(filters(probes, buckets, slice_bits(4 * grams_all, filter_bits, buckets), _held_twice, ("shared",))[0])
+    rows = texts.mapInArrow(_shared_places(n, num, den, ranks, chosen, shared), PLACES)
+    rows = kept(rows.join(sets.select("doc_id", "set_id", "component"), ["doc_id", "set_id"]), "place-rows")
     mixed = rows.groupBy("place").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("place")
-    rows = kept(rows.join(mixed, "place"), "place-rows")
+    between = kept(rows.join(mixed, "place"), "mixed-places")
+    consumed(rows)
+    return between
+
 
+def _pairs_between(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of sets in different components that could link, by a shared place among their first ones."""
     # The smaller set of a pair needs fewer places than the larger one.
     fewer = F.col("n") - F.ceil(F.col("n") * (2 * num) / F.lit(num + den)) + 1
     b = rows.where(F.col("at") < fewer).select(
@@ -234,7 +263,8 @@ def _pairs_between(prefixes: DataFrame, sets: DataFrame, num: int, den: int) ->
     ).select("a", "a_doc", "a_n", "b", "b_doc", "b_n").distinct()
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text",
+                    bucket_bytes: int = BUCKET_BYTES, filter_bits: int = FILTER_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; texts link when den * |common| >= num * |united|."""
     spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -244,14 +274,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     sets = kept(rows.where("n > 0").groupBy("set_id", "n").agg(
         F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys")).where("doc_id IS NOT NULL"), "sets")
 
-    links = kept(_links(texts, kept(_hub_pairs(sets, num, den), "hub-pairs"), n, num, den), "hub-links")
+    hubs = kept(_hub_pairs(sets, num, den), "hub-pairs")
+    links = kept(_links(texts, hubs, n, num, den), "hub-links")
     grouped = components(links).select(F.col("node").alias("set_id"), "component")
     placed = kept(sets.join(grouped, "set_id", "left").select(
         "set_id", "doc_id", "n", F.coalesce("component", "set_id").alias("component")), "placed-sets")
 
-    prefixes = kept(texts.mapInArrow(_prefixes(n, num, den, ranks), "doc_id long, set_id long, n long, places array<long>"), "prefixes")
-    pairs = kept(_pairs_between(prefixes, placed, num, den), "pairs")
+    consumed(hubs, links, sets)
+    places = _place_rows(texts, placed, n, num, den, ranks, bucket_bytes, filter_bits)
+    pairs = kept(_pairs_between(places, num, den), "pairs")
     more = kept(_links(texts, pairs, n, num, den), "links")
+    consumed(places, pairs)
 
     # Links of the second step join components of the first.
     between = more.join(placed.select(F.col("set_id").alias("u"), F.col("component").alias("a")), "u").join(
