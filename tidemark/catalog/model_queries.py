@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.catalog import solve_sql as Q
 from tidemark.catalog.base import DRIVERS, cte, nation_panel, panel, query
 from tidemark.functions.scores import clamp, risk_label
 from tidemark.operators import drivers as D
@@ -589,16 +590,21 @@ def _(spark, sf):
     return I.linear_attribution(long, coef)
 
 
-@query("vif", "series_id variable vif:6")
+@query("vif", "series_id variable vif:6", Q.VIF_SQL, "drv_inv")
 def _(spark, sf):
     return I.vif(S.corr_matrix(panel(spark, sf), DRIVERS), DRIVERS)
 
 
-@query("vif_prune", "series_id variable vif:6")
+@query("vif_prune", "series_id variable vif:6", Q.VIF_KEPT_SQL, "drv_drop")
 def _(spark, sf):
     return I.vif_prune(S.corr_matrix(panel(spark, sf), DRIVERS), DRIVERS)
 
 
+@query("vif_drops", "series_id step:i variable vif:4", Q.VIF_DROPS_SQL, "drv_drop")
+def _(spark, sf):
+    return I.vif_drops(S.corr_matrix(panel(spark, sf), DRIVERS), DRIVERS).filter("step IS NOT NULL")
+
+
 @query("elasticnet_rank", "series_id variable score:2")
 def _(spark, sf):
     return I.elasticnet_rank(panel(spark, sf), DRIVERS)
@@ -630,9 +636,26 @@ def _linear(model):
 
 
 for _m in LINEAR_MODELS:
-    query(f"model_{_m}", _FC)(_linear(_m))
-for _m in ("holtwinters", "theta", "fourier_trend"):
-    query(f"model_{_m}", _FC)(lambda spark, sf, m=_m: forecast_univariate(*_centered(spark, sf), "M", [m]))
+    query(f"model_{_m}", _FC, *Q.LINEAR_SQL.get(_m, ()))(_linear(_m))
+
+
+def _univariate(model):
+    return lambda spark, sf: forecast_univariate(*_centered(spark, sf), "M", [model])
+
+
+query("model_fourier_trend", _FC, Q.FOURIER_SQL, "ft_fit hold")(_univariate("fourier_trend"))
+Q.on_log_target()
+query("model_holtwinters", _FC, """
+SELECT h.series_id, h.fold, 'holtwinters' AS model, h.step, h.period, exp(lvl + h.step * tr + seas[(h.step - 1) % 12 + 1]) AS yhat
+FROM hold h JOIN t_ets2_best e ON e.series_id = h.series_id AND e.variable = CAST(h.fold AS VARCHAR)""", "t_ets2_best hold")(_univariate("holtwinters"))
+query("model_theta", _FC, """
+SELECT h.series_id, h.fold, 'theta' AS model, h.step, h.period, exp(CASE WHEN NOT q.yes THEN base WHEN o.mult THEN base * s ELSE base + s END) AS yhat
+FROM (SELECT h.*, b.n, lvl + slope / 2 * (h.step - 1 + 1 / alpha - (1 - alpha) ** b.n / alpha) AS base FROM hold h JOIN t_ses_best b
+  ON b.series_id = h.series_id AND b.variable = CAST(h.fold AS VARCHAR)) h
+JOIN t_seasonal q ON q.series_id = h.series_id AND q.variable = CAST(h.fold AS VARCHAR)
+JOIN (SELECT DISTINCT series_id, variable, mult FROM t_obs) o ON o.series_id = h.series_id AND o.variable = q.variable
+LEFT JOIN t_slots s ON s.series_id = h.series_id AND s.variable = q.variable AND s.slot = (h.n + h.step - 1) % 12""",
+      "t_ses_best t_slots t_seasonal hold")(_univariate("theta"))
 for _m in TREE_MODELS:
     query(f"model_{_m}", _FC)(lambda spark, sf, m=_m: forecast_trees(*_centered(spark, sf), DRIVERS, "M", [m]))
 query("model_gbt", _FC)(lambda spark, sf: forecast_trees(*_centered(spark, sf), DRIVERS, "M", TREE_MODELS[:3]))

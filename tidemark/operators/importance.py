@@ -121,17 +121,48 @@ def vif(pairs: DataFrame, variables: Sequence[str]) -> DataFrame:
     return pairs.groupBy("series_id").applyInPandas(solve, "series_id string, variable string, vif double")
 
 
-def vif_prune(pairs: DataFrame, variables: Sequence[str], vif_max: float = 10.0) -> DataFrame:
-    """Drop the worst driver until all are at most ``vif_max``; returns the kept ones with their VIF."""
+def _downdated(inverse: np.ndarray, at: int) -> np.ndarray:
+    """The inverse after row and column ``at`` of the matrix are gone: a rank-one change of what is left."""
+    keep = np.arange(len(inverse)) != at
+    return inverse[np.ix_(keep, keep)] - np.outer(inverse[keep, at], inverse[at, keep]) / inverse[at, at]
+
+
+def _prune_order(r: np.ndarray, vif_max: float) -> tuple[list[tuple[int, float]], list[int], np.ndarray]:
+    """(column, VIF) of every drop in order, the columns that stay and their VIF."""
+    left, drops = list(range(len(r))), []
+    values = _vif_values(r)
+    # Exact dependencies first: there is no inverse to change yet.
+    while len(left) > 1 and np.isinf(values.max()):
+        worst = int(np.argmax(values))
+        drops.append((left.pop(worst), float(values[worst])))
+        values = _vif_values(r[np.ix_(left, left)])
+    if len(left) > 1 and values.max() > vif_max:
+        inverse = np.linalg.inv(np.where(np.eye(len(left)) > 0, 1.0, r[np.ix_(left, left)]))
+        while len(left) > 1 and np.diag(inverse).max() > vif_max:
+            worst = int(np.argmax(np.diag(inverse)))
+            drops.append((left.pop(worst), float(inverse[worst, worst])))
+            inverse = _downdated(inverse, worst)
+        values = _vif_values(r[np.ix_(left, left)])
+    return drops, left, values
+
+
+def vif_drops(pairs: DataFrame, variables: Sequence[str], vif_max: float = 10.0) -> DataFrame:
+    """(series_id, variable, vif, step): the worst driver goes until all are at most ``vif_max``.
+
+    ``step`` numbers the drops and is NULL for the drivers that stay; ``vif`` is the value at the drop, or the last one.
+    """
     order = list(variables)
 
     def prune(pdf: pd.DataFrame) -> pd.DataFrame:
         names, r = _matrix(pdf, order)
-        values = _vif_values(r)
-        while len(names) > 1 and not values.max() <= vif_max:
-            keep = np.arange(len(names)) != int(np.argmax(values))
-            names, r = [n for n, k in zip(names, keep) if k], r[np.ix_(keep, keep)]
-            values = _vif_values(r)
-        return pd.DataFrame({"series_id": pdf["series_id"].iloc[0], "variable": names, "vif": values})
-
-    return pairs.groupBy("series_id").applyInPandas(prune, "series_id string, variable string, vif double")
+        drops, left, values = _prune_order(r, vif_max)
+        rows = [(names[c], v, i + 1) for i, (c, v) in enumerate(drops)] + [(names[c], v, None) for c, v in zip(left, values)]
+        out = pd.DataFrame(rows, columns=["variable", "vif", "step"]).astype({"step": "Int64"})
+        return out.assign(series_id=pdf["series_id"].iloc[0])[["series_id", "variable", "vif", "step"]]
+
+    return pairs.groupBy("series_id").applyInPandas(prune, "series_id string, variable string, vif double, step long")
+
+
+def vif_prune(pairs: DataFrame, variables: Sequence[str], vif_max: float = 10.0) -> DataFrame:
+    """(series_id, variable, vif) of the drivers that stay when the worst one goes until all are at most ``vif_max``."""
+    return vif_drops(pairs, variables, vif_max).filter("step IS NULL").drop("step")

@@ -232,7 +232,8 @@ def _fit_udf(freq: str, n_lags: int, n_drivers: int):
                 if season > 1:
                     phi[season - 1] += beta[2]
                     phi[season] -= beta[2]
-                rows.append((0.0, phi, np.zeros(2), beta[3:], mean[-1], sd[-1]))
+                # The sums are of differences, so they hold no band for levels: this path is not clipped.
+                rows.append((0.0, phi, np.zeros(2), beta[3:], 0.0, np.inf))
                 continue
             phi = np.zeros(max(n_lags, long))
             phi[:n_lags] = beta[1:n_lags + 1]

@@ -34,29 +34,49 @@ def series_arrays(long: DataFrame, keys: Sequence[str] = ("series_id", "variable
     return known.withColumn("y", F.col("_points.value")).withColumn("_periods", F.col("_points.period")).drop("_points")
 
 
+# Paths of one length that a task computes side by side.
+TOGETHER = 256
+
+
+def _by_length(ys: pd.Series):
+    """(positions, matrix) of the paths of equal length, a bounded number at a time; empty and missing ones are left out."""
+    sizes = np.array([0 if y is None else len(y) for y in ys])
+    for n in np.unique(sizes[sizes > 0]):
+        at = np.flatnonzero(sizes == n)
+        for low in range(0, len(at), TOGETHER):
+            part = at[low : low + TOGETHER]
+            yield part, np.stack([np.asarray(ys.iloc[i], dtype=float) for i in part])
+
+
 def _smooth(y: np.ndarray, m: int, grid: np.ndarray):
-    """Additive smoothing of one path for every row of the grid; returns the one-step sse and final states."""
-    a, b, g = grid.T
-    sse = np.zeros(len(grid))
-    seasonal = m >= 2 and len(y) >= 2 * m + 5
+    """Additive smoothing of every path (row of y) for its points of the grid (paths or 1, points, 3).
+
+    Returns the one-step sse (paths, points) and the final states; season is (paths, slots, points).
+    """
+    a, b, g = np.moveaxis(grid, -1, 0)
+    n, shape = y.shape[1], (len(y), grid.shape[1])
+    sse = np.zeros(shape)
+    seasonal = m >= 2 and n >= 2 * m + 5
     if seasonal:
-        level = np.full(len(grid), y[:m].mean())
-        trend = np.full(len(grid), (y[m:2 * m].mean() - y[:m].mean()) / m)
-        season = np.tile((y[:m] - y[:m].mean())[:, None], len(grid))
+        first = y[:, :m].mean(axis=1)
+        level = np.repeat(first[:, None], shape[1], axis=1)
+        trend = np.repeat(((y[:, m : 2 * m].mean(axis=1) - first) / m)[:, None], shape[1], axis=1)
+        season = np.repeat((y[:, :m] - first[:, None])[:, :, None], shape[1], axis=2)
         start = m
     else:
-        level, trend = np.full(len(grid), y[0]), np.full(len(grid), y[1] - y[0] if len(y) > 1 else 0.0)
-        season = np.zeros((1, len(grid)))
+        level = np.repeat(y[:, :1], shape[1], axis=1)
+        trend = np.repeat(y[:, 1:2] - y[:, :1], shape[1], axis=1) if n > 1 else np.zeros(shape)
+        season = np.zeros((shape[0], 1, shape[1]))
         start = 1
-    for t in range(start, len(y)):
-        slot = t % len(season)
-        s = season[slot]
+    for t in range(start, n):
+        slot, now = t % season.shape[1], y[:, t : t + 1]
+        s = season[:, slot]
         expected = level + trend
-        sse += (y[t] - expected - s) ** 2
-        new = a * (y[t] - s) + (1 - a) * expected
+        sse += (now - expected - s) ** 2
+        new = a * (now - s) + (1 - a) * expected
         trend = b * (new - level) + (1 - b) * trend
         if seasonal:
-            season[slot] = g * (y[t] - new) + (1 - g) * s
+            season[:, slot] = g * (now - new) + (1 - g) * s
         level = new
     return sse, level, trend, season
 
@@ -67,19 +87,17 @@ def _ets_udf(m: int):
 
     @F.pandas_udf("struct<alpha:double,beta:double,gamma:double,sse:double,path:array<double>>")
     def ets(ys: pd.Series, horizons: pd.Series) -> pd.DataFrame:
-        out = []
-        for y, h in zip(ys, horizons):
-            y = np.asarray(y, dtype=float)
-            if len(y) == 0:
-                out.append((None, None, None, None, None))
-                continue
-            coarse = grid[np.argmin(_smooth(y, m, grid)[0])]
-            local = np.clip(coarse + near, 0.0, 1.0)
+        out: list = [(None,) * 5] * len(ys)
+        for at, y in _by_length(ys):
+            coarse = grid[np.argmin(_smooth(y, m, grid[None])[0], axis=1)]
+            local = np.clip(coarse[:, None, :] + near, 0.0, 1.0)
             sse, level, trend, season = _smooth(y, m, local)
-            k = int(np.argmin(sse))
-            steps = np.arange(1, int(h) + 1)
-            path = level[k] + steps * trend[k] + season[(len(y) + steps - 1) % len(season), k]
-            out.append((*local[k], sse[k], path))
+            best, rows = np.argmin(sse, axis=1), np.arange(len(y))
+            steps = np.arange(1, int(horizons.iloc[at].max()) + 1)
+            path = level[rows, best][:, None] + steps * trend[rows, best][:, None] + season[
+                rows[:, None], (y.shape[1] + steps - 1) % season.shape[1], best[:, None]]
+            for i, row, h in zip(at, rows, horizons.iloc[at]):
+                out[i] = (*local[row, best[row]], sse[row, best[row]], path[row, : int(h)])
         return pd.DataFrame(out, columns=["alpha", "beta", "gamma", "sse", "path"])
 
     return ets
@@ -90,34 +108,35 @@ def ets_forecast(arrays: DataFrame, freq: str, name: str = "ets") -> DataFrame:
 
     Level, trend and (given two seasons and five values) season are additive; constants
     come from a coarse grid refined once around its best point. The state update runs
-    over the whole grid at once in numpy: the same loop as a higher-order function is
-    interpreted per grid point and measured two orders of magnitude slower.
+    over many paths and the whole grid at once in numpy: the same loop as a higher-order
+    function is interpreted per grid point and measured two orders of magnitude slower.
     """
     return arrays.withColumn(name, _ets_udf(freq_params(freq)["season"])("y", "horizon"))
 
 
-def _season_index(y: np.ndarray, m: int) -> tuple[np.ndarray | None, bool]:
-    """Seasonal index of a path and whether it multiplies; None when the test finds no season.
+def _season_index(y: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Seasonal index of every path (paths, slots), whether a path has a season, and whether it multiplies.
 
     The autocorrelation at one season must exceed its 90 % bound; the index comes from
     ratios to (or differences from) a centred moving average over one season.
     """
-    n, positive = len(y), bool(y.min() > 0)
-    dev = y - y.mean()
-    total = dev @ dev
-    if m < 2 or n < 2 * m or total <= 0:
-        return None, positive
-    r = np.array([dev[k:] @ dev[:n - k] for k in range(1, m + 1)]) / total
-    if abs(r[-1]) <= SEASON_TEST * np.sqrt((1 + 2 * (r[:-1] ** 2).sum()) / n):
-        return None, positive
+    n, positive = y.shape[1], y.min(axis=1) > 0
+    dev = y - y.mean(axis=1, keepdims=True)
+    total = (dev * dev).sum(axis=1)
+    if m < 2 or n < 2 * m:
+        return np.zeros((len(y), 1)), np.zeros(len(y), bool), positive
+    safe = np.where(total > 0, total, 1.0)
+    r = np.stack([(dev[:, k:] * dev[:, : n - k]).sum(axis=1) for k in range(1, m + 1)], axis=1) / safe[:, None]
+    found = (total > 0) & (np.abs(r[:, -1]) > SEASON_TEST * np.sqrt((1 + 2 * (r[:, :-1] ** 2).sum(axis=1)) / n))
     half = m // 2
     weights = np.r_[0.5, np.ones(m - 1), 0.5] / m
-    trend = np.convolve(y, weights, "valid")
-    inner = y[half:n - half]
-    ratio = inner / trend if positive else inner - trend
+    trend = sum(w * y[:, i : n - m + i] for i, w in enumerate(weights))
+    inner = y[:, half : n - half]
+    ratio = np.where(positive[:, None], inner / np.where(trend != 0, trend, np.nan), inner - trend)
     slot = np.arange(half, n - half) % m
-    raw = np.bincount(slot, ratio, m) / np.bincount(slot, minlength=m)
-    return (raw / raw.mean() if positive else raw - raw.mean()), positive
+    raw = np.stack([ratio[:, slot == s].mean(axis=1) for s in range(m)], axis=1)
+    middle = raw.mean(axis=1, keepdims=True)
+    return np.where(positive[:, None], raw / middle, raw - middle), found, positive
 
 
 def _theta_udf(m: int):
@@ -125,29 +144,26 @@ def _theta_udf(m: int):
 
     @F.pandas_udf("struct<alpha:double,path:array<double>>")
     def theta(ys: pd.Series, horizons: pd.Series) -> pd.DataFrame:
-        out = []
-        for y, h in zip(ys, horizons):
-            y = np.asarray(y, dtype=float)
-            n = len(y)
-            if n == 0:
-                out.append((None, None))
-                continue
-            index, positive = _season_index(y, m)
-            slots = np.arange(n) % m
-            d = y if index is None else (y / index[slots] if positive else y - index[slots])
+        out: list = [(None, None)] * len(ys)
+        for at, y in _by_length(ys):
+            n = y.shape[1]
+            index, found, positive = _season_index(y, m)
+            whole = index[:, np.arange(n) % index.shape[1]]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                d = np.where(found[:, None], np.where(positive[:, None], y / whole, y - whole), y)
             t = np.arange(n) - (n - 1) / 2
-            slope = t @ d / (t @ t) if n > 1 else 0.0
-            level, sse = np.full(len(alphas), d[0]), np.zeros(len(alphas))
-            for v in d[1:]:
-                sse += (v - level) ** 2
-                level = level + alphas * (v - level)
-            k = int(np.argmin(sse))
-            a, steps = alphas[k], np.arange(1, int(h) + 1)
-            path = level[k] + slope / 2 * (steps - 1 + 1 / a - (1 - a) ** n / a)
-            if index is not None:
-                s = index[(n + steps - 1) % m]
-                path = path * s if positive else path + s
-            out.append((a, path))
+            slope = d @ t / (t @ t) if n > 1 else np.zeros(len(y))
+            level, sse = np.repeat(d[:, :1], len(alphas), axis=1), np.zeros((len(y), len(alphas)))
+            for k in range(1, n):
+                sse += (d[:, k : k + 1] - level) ** 2
+                level = level + alphas * (d[:, k : k + 1] - level)
+            best, rows = np.argmin(sse, axis=1), np.arange(len(y))
+            a, steps = alphas[best][:, None], np.arange(1, int(horizons.iloc[at].max()) + 1)
+            path = level[rows, best][:, None] + slope[:, None] / 2 * (steps - 1 + 1 / a - (1 - a) ** n / a)
+            s = index[:, (n + steps - 1) % index.shape[1]]
+            path = np.where(found[:, None], np.where(positive[:, None], path * s, path + s), path)
+            for i, row, h in zip(at, rows, horizons.iloc[at]):
+                out[i] = (alphas[best[row]], path[row, : int(h)])
         return pd.DataFrame(out, columns=["alpha", "path"])
 
     return theta

@@ -11,7 +11,7 @@ HISTORY_WINDOW = {"M": 24, "W": 104, "Y": 2}
 
 # Model names in training order (ties keep this order) and their family.
 MODEL_ORDER = (
-    "gbt_lgbm", "gbt_catboost", "gbt_xgboost", "elasticnet", "arx", "holtwinters", "theta", "fourier_trend", "twfe", "sysgmm",
+    "gbt_lgbm", "elasticnet", "gbt_catboost", "gbt_xgboost", "arx", "holtwinters", "theta", "fourier_trend", "twfe", "sysgmm",
     "mg", "amg", "ccemg", "dccemg", "lasso", "rf", "rff_regression",
 )
 UNIVARIATE_MODELS = ("holtwinters", "theta", "fourier_trend")
