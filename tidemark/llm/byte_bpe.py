@@ -15,14 +15,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from tidemark.llm.arrow import lists, quoted, settle, text_chunks
 
 # Characters at least between two cuts of a long text.
 PIECE = 1 << 16
+# Bytes of text, about, whose results are handed on at once.
+OUTPUT = 1 << 20
 SAFE = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[ \t\n\r])")
 
 _BUILT: dict[str, tuple] = {}
@@ -68,35 +75,40 @@ def encode(encoding: tiktoken.Encoding, text: str, size: int = PIECE) -> list[in
 def _rows(shared, pattern: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, raw, decimal = build(shared.value, pattern)
-        for batch in batches:
-            ids, counts, id_sums, text_sums, lists = batch.column(0), [], [], [], []
-            for text in batch.column(1):
-                encoded = encode(encoding, text.as_py() or "")
+        for rows, data, offsets in text_chunks(batches, "text", OUTPUT):
+            body, at = data.tobytes(), offsets.tolist()
+            flat, counts, id_sums, text_sums = array("i"), [], [], []
+            for low, high in zip(at, at[1:]):
+                encoded = encode(encoding, body[low:high].decode())
                 counts.append(len(encoded))
                 id_sums.append(hashlib.sha256(" ".join([decimal[i] for i in encoded]).encode()).hexdigest())
                 text_sums.append(hashlib.sha256(b"".join([raw[i] for i in encoded])).hexdigest())
                 if with_ids:
-                    lists.append(encoded)
-            columns = [ids, pa.array(counts, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())]
+                    flat.extend(encoded)
+            columns = [rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(id_sums, pa.string()), pa.array(text_sums, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                columns.append(pa.array(lists, pa.list_(pa.int32())))
+                columns.append(lists(np.frombuffer(flat, np.int32), np.array(counts, np.int64), pa.int32()))
                 names.append("ids")
+            for name in rows.schema.names[2:]:
+                columns.append(rows.column(name))
+                names.append(name)
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
 def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, id_column: str = "doc_id", text: str = "text",
-                     with_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids of every text.
+                     with_ids: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if asked for, the ids of every text; then the columns in ``carry``.
 
-    One pass, no shuffle: rows stay in the partitions of the scan.
+    One pass, no shuffle: rows stay in the partitions of the scan. A task holds one batch of texts and the ids of about
+    OUTPUT bytes of them, or of one longer text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.selectExpr(f"CAST(`{id_column}` AS long) doc_id", f"CAST(`{text}` AS string) text").mapInArrow(
-        _rows(shared, pattern, with_ids), schema)
+    read = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text"), *map(quoted, carry))
+    schema = StructType.fromDDL("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+    return read.mapInArrow(_rows(shared, pattern, with_ids), StructType([*schema.fields, *read.schema.fields[2:]]))
 
 
 def decode_documents(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
@@ -106,8 +118,11 @@ def decode_documents(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, raw, _ = build(shared.value, pattern)
         for batch in batches:
-            texts = [b"".join([raw[i] for i in row.as_py() or []]) for row in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["doc_id", "bytes"])
+            for low in range(0, len(batch), 256):
+                rows = batch.slice(low, 256)
+                texts = [b"".join([raw[i] for i in row.as_py() or []]) for row in rows.column(1)]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.binary())], ["doc_id", "bytes"])
+        settle()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
 
