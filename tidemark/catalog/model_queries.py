@@ -419,6 +419,51 @@ def _(spark, sf):
     return spark.read.parquet(sinks.append_risk_summary(risk, path, "b"))
 
 
+@query("append_risk_retry", "run_id series_id risk_score:6", """
+SELECT unnest(['a', 'b']) AS run_id, series_id, avg(risk_score) AS risk_score FROM anom GROUP BY 2""", "anom")
+def _(spark, sf):
+    """Run a is written, fails half way, and is written once more; run b stays beside it."""
+    risk = materialize(series_risk(driver_anomalies(*_hist_future(spark, sf))))
+    path = scratch_path(spark, "risk")
+    sinks.append_risk_summary(risk.withColumn("risk_score", F.col("risk_score") + 1), path, "a")
+    sinks.append_risk_summary(risk, path, "b")
+    sinks.append_risk_summary(risk, path, "a")
+    return sinks.read_run(spark, path, risk.schema)
+
+
+def _written(spark, table, name, csv=False):
+    """The table, written as the jobs do and read back."""
+    path = scratch_path(spark, name)
+    if csv:
+        return spark.read.schema(table.schema).option("header", True).csv(sinks.write_csv(table, path, rounded=False))
+    return spark.read.parquet(sinks.write_table(table, path))
+
+
+def _read_back(name, of, csv=False, layout=None):
+    """A sink as a query: the rows of another query, through a file."""
+    from tidemark.catalog.base import QUERIES
+
+    source = QUERIES[of]
+    query(name, layout or source.layout, source.body, " ".join(source.ctes))(lambda spark, sf: _written(spark, source.plan(spark, sf), name, csv))
+
+
+_read_back("write_anomaly_report", "driver_anomalies", csv=True)
+_read_back("write_per_fold_metrics", "per_fold_report", csv=True)
+_read_back("write_holdout_results", "holdout_results")
+_read_back("write_indep_weights", "weights_table", csv=True)
+_read_back("write_future_table", "write_future_forecast")
+
+
+@query("write_hist_future", "series_id variable n:i last_value:4", """
+SELECT series_id, variable, count(*) AS n, arg_max(value, period) AS last_value FROM long GROUP BY 1, 2""", "long")
+def _(spark, sf):
+    path = scratch_path(spark, "hist_future")
+    for part, rows in zip(("past", "future"), _hist_future(spark, sf)):
+        sinks.write_run(rows, path, part, by_series=True)
+    back = sinks.read_run(spark, path, rows.schema)
+    return back.groupBy("series_id", "variable").agg(F.count(F.lit(1)).alias("n"), F.max_by("value", "period").alias("last_value"))
+
+
 @query("union_hist_future", "series_id variable n:i", "SELECT series_id, variable, count(*) AS n FROM long GROUP BY 1, 2", "long")
 def _(spark, sf):
     h, f = _hist_future(spark, sf)

@@ -13,7 +13,7 @@ from tidemark.operators import panel as P
 from tidemark.operators import selection as S
 from tidemark.operators.drivers import gap_periods, horizon_steps
 from tidemark.operators.impute import bfill, ffill, time_interpolate
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.settings import DEFAULTS
 from tidemark.sources.config import validate_config
 from tidemark.sources import tables as T
@@ -560,6 +560,38 @@ def _(spark, sf):
     return spark.read.option("header", True).csv(path)
 
 
+@query("write_scores_by_run", "run_id series_id variable score", """
+SELECT run_id, series_id, variable, format('{:.3f}', CASE WHEN run_id = 'two' THEN 2 * score ELSE score END) AS score
+FROM mi, (SELECT unnest(['one', 'two']) AS run_id)""", "mi")
+def _(spark, sf):
+    """Two runs in one folder; the second is written wrongly for a series first, then that series again."""
+    p = panel(spark, sf)
+    scores = materialize(S.mutual_information(P.to_long(p, DRIVERS), p))
+    path, double = scratch_path(spark, "scores"), scores.withColumn("score", F.col("score") * 2)
+    sinks.write_scores(scores, path, "one")
+    sinks.write_scores(double.withColumn("score", F.when(F.col("series_id") == "BUILDING", -1.0).otherwise(F.col("score"))), path, "two")
+    sinks.write_scores(double.filter("series_id = 'BUILDING'"), path, "two")
+    return sinks.read_run(spark, path, sinks.three_decimals(scores).schema, csv=True)
+
+
+@query("write_rejected", "series_id variable corr_value", """
+SELECT series_id, variable, format('{:.3f}', round(corr, 3)) AS corr_value FROM corrs WHERE abs(corr) < 0.2""", "corrs")
+def _(spark, sf):
+    c = S.corr_with_target_wide(panel(spark, sf), DRIVERS)
+    path = sinks.write_csv(c.filter("NOT keep").select("series_id", "variable", "corr_value"), scratch_path(spark, "rejected"))
+    return spark.read.option("header", True).csv(path)
+
+
+@query("write_selected_features", "series_id variable rank:i composite", """
+SELECT series_id, variable, rank, format('{:.3f}', composite) AS composite FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY composite DESC, variable) AS rank,
+    count(*) FILTER (WHERE composite >= 0.25) OVER (PARTITION BY series_id) AS good FROM comp)
+WHERE CASE WHEN good >= 3 THEN composite >= 0.25 ELSE rank <= 3 END""", "comp")
+def _(spark, sf):
+    chosen = S.threshold_or_topk(_composite(spark, sf), DEFAULTS.with_(min_selected=3)).select("series_id", "variable", "rank", "composite")
+    return spark.read.option("header", True).csv(sinks.write_csv(chosen, scratch_path(spark, "selected_csv")))
+
+
 @query("write_summary_json", "series_id rows:i n_dropped:i num_selected_features:i first_selected", """
 SELECT series_id, (SELECT count(*) FROM panel p WHERE p.series_id = c.series_id) AS rows, count(*) FILTER (WHERE abs(corr) < 0.2) AS n_dropped,
   count(*) FILTER (WHERE abs(corr) >= 0.2) AS num_selected_features, min(variable) FILTER (WHERE abs(corr) >= 0.2) AS first_selected

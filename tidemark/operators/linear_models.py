@@ -211,46 +211,54 @@ def fit_one(model: str, mg_blocks, cv_slices, sums: list[np.ndarray], n_lags: in
     return G.min_norm(total)
 
 
-_FIT = "struct<intercept:double,phi:array<double>,std_coef:array<double>,exog:array<double>,y_mean:double,y_sd:double>"
+_FIT = "struct<intercept:double,phi:array<double>,std_coef:array<double>,exog:array<double>,y_mean:double,y_sd:double,reason:string>"
 
 
 def _fit_udf(freq: str, n_lags: int, n_drivers: int):
     p = freq_params(freq)
     short, long, season = p["roll_short"], p["roll_long"], p["season"]
 
+    def one(name, b, c, sums):
+        if not all(np.isfinite(s).all() for s in sums):
+            raise ArithmeticError("the sums of its columns are not finite")
+        beta = fit_one(name, b, c, sums, n_lags, n_drivers)
+        if not np.isfinite(beta).all():
+            raise ArithmeticError("a coefficient is not finite")
+        mean, sd, _ = G.moments(np.sum(sums, axis=0))
+        if name == "arx":
+            phi = np.zeros(season + 1 if season > 1 else 2)
+            phi[0], phi[1] = 1 + beta[1], -beta[1]
+            if season > 1:
+                phi[season - 1] += beta[2]
+                phi[season] -= beta[2]
+            # The sums are of differences, so they hold no band for levels: this path is not clipped.
+            return 0.0, phi, np.zeros(2), beta[3:], 0.0, np.inf, None
+        phi = np.zeros(max(n_lags, long))
+        phi[:n_lags] = beta[1:n_lags + 1]
+        r = beta[n_lags + 1:n_lags + 5]
+        phi[:short] += r[0] / short
+        phi[:long] += r[1] / long
+        return beta[0], phi, r[2:4], beta[n_lags + 5:], mean[-1], sd[-1], None
+
     @F.pandas_udf(_FIT)
     def fit(model: pd.Series, mg: pd.Series, cv: pd.Series, grams: pd.Series) -> pd.DataFrame:
         rows = []
         for name, b, c, g in zip(model, mg, cv, grams):
-            sums = [G.unpack(x) for x in g]
-            beta = fit_one(name, b, c, sums, n_lags, n_drivers)
-            total = np.sum(sums, axis=0)
-            mean, sd, _ = G.moments(total)
-            if name == "arx":
-                phi = np.zeros(season + 1 if season > 1 else 2)
-                phi[0], phi[1] = 1 + beta[1], -beta[1]
-                if season > 1:
-                    phi[season - 1] += beta[2]
-                    phi[season] -= beta[2]
-                # The sums are of differences, so they hold no band for levels: this path is not clipped.
-                rows.append((0.0, phi, np.zeros(2), beta[3:], 0.0, np.inf))
-                continue
-            phi = np.zeros(max(n_lags, long))
-            phi[:n_lags] = beta[1:n_lags + 1]
-            r = beta[n_lags + 1:n_lags + 5]
-            phi[:short] += r[0] / short
-            phi[:long] += r[1] / long
-            rows.append((beta[0], phi, r[2:4], beta[n_lags + 5:], mean[-1], sd[-1]))
-        return pd.DataFrame(rows, columns=["intercept", "phi", "std_coef", "exog", "y_mean", "y_sd"])
+            try:
+                with np.errstate(all="ignore"):
+                    rows.append(one(name, b, c, [G.unpack(x) for x in g]))
+            except (ArithmeticError, ValueError, np.linalg.LinAlgError) as e:
+                rows.append((*[None] * 6, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(rows, columns=["intercept", "phi", "std_coef", "exog", "y_mean", "y_sd", "reason"])
 
     return fit
 
 
 def fit_linear(centered: DataFrame, folds: DataFrame, drivers: Sequence[str], freq: str,
                models: Sequence[str] = LINEAR_MODELS, settings: Settings = DEFAULTS) -> DataFrame:
-    """(series_id, fold, model, layout, intercept, phi, std_coef, exog, y_mean, y_sd).
+    """(series_id, fold, model, layout, intercept, phi, std_coef, exog, y_mean, y_sd, reason).
 
-    Rolling means are linear in the lags, so their weights are merged into ``phi``.
+    A fit that fails is a row with its reason and nothing else. Rolling means are linear in the lags, so their weights are merged into ``phi``.
     """
     layouts = [la for la, ms in LAYOUT_MODELS.items() if set(ms) & set(models)]
     design, sizes = design_rows(centered, folds, drivers, freq, layouts, settings)
@@ -291,7 +299,7 @@ def forecast_linear(fits: DataFrame, centered: DataFrame, folds: DataFrame, futu
         F.first("mu").alias("mu"),
         F.array_sort(F.collect_list(F.struct(
             "step", "period", *[exog_array(la, drivers, freq).alias(la) for la in layouts]))).alias("steps"))
-    jobs = fits.join(steps, ["series_id", "fold"]).join(history, ["series_id", "fold"])
+    jobs = fits.filter("phi IS NOT NULL").join(steps, ["series_id", "fold"]).join(history, ["series_id", "fold"])
     rows = F.element_at(F.create_map(*[x for la in layouts for x in (F.lit(la), F.col("steps")[la])]), F.col("layout"))
 
     def effect(known: Column) -> Column:

@@ -15,6 +15,7 @@ from tidemark.operators.linear_models import LINEAR_MODELS, fit_linear, forecast
 from tidemark.operators.recursion import explode_path
 from tidemark.operators.tree_models import POOLED_MODELS, TREE_MODELS, forecast_pooled, forecast_trees
 from tidemark.operators.univariate import ets_forecast, theta_forecast
+from tidemark.session import materialize
 from tidemark.settings import DEFAULTS, UNIVARIATE_MODELS, Settings
 
 KEYS = ("series_id", "fold")
@@ -98,16 +99,22 @@ def register_model(name: str, forecast: Callable[..., DataFrame]) -> None:
 
 
 def forecast_models(centered: DataFrame, folds: DataFrame, future: DataFrame, drivers: Sequence[str], freq: str,
-                    settings: Settings = DEFAULTS, clamp: bool = True) -> DataFrame:
-    """All enabled models over all series and folds: (series_id, fold, model, step, period, yhat)."""
+                    settings: Settings = DEFAULTS, clamp: bool = True, failures: list[DataFrame] | None = None) -> DataFrame:
+    """All enabled models over all series and folds: (series_id, fold, model, step, period, yhat).
+
+    A fit that fails costs its own rows only; it is added to ``failures`` as (series_id, fold, model, reason).
+    """
     parts = []
     linear = [m for m in LINEAR_MODELS if m in settings.models]
     if linear:
         fits = fit_linear(centered, folds, drivers, freq, linear, settings)
+        if failures is not None:
+            fits = materialize(fits)
+            failures.append(fits.filter("reason IS NOT NULL").select("series_id", "fold", "model", "reason"))
         parts.append(forecast_linear(fits, centered, folds, future, drivers, freq, settings, clamp, linear))
     trees = [m for m in TREE_MODELS if m in settings.models]
     if trees:
-        parts.append(forecast_trees(centered, folds, future, drivers, freq, trees, settings, clamp))
+        parts.append(forecast_trees(centered, folds, future, drivers, freq, trees, settings, clamp, failures))
     if set(POOLED_MODELS) & set(settings.models):
         parts.append(forecast_pooled(centered, folds, future, drivers, freq, settings, clamp))
     univariate = [m for m in UNIVARIATE_MODELS if m in settings.models]

@@ -150,11 +150,19 @@ def _path_rows(paths: DataFrame) -> DataFrame:
 
 
 def forecast_trees(centered: DataFrame, folds: DataFrame, future: DataFrame, drivers: Sequence[str], freq: str,
-                   models: Sequence[str] = TREE_MODELS, settings: Settings = DEFAULTS, clamp: bool = True) -> DataFrame:
-    """(series_id, fold, model, step, period, yhat): one ensemble per series, fold and model."""
+                   models: Sequence[str] = TREE_MODELS, settings: Settings = DEFAULTS, clamp: bool = True,
+                   failures: list[DataFrame] | None = None) -> DataFrame:
+    """(series_id, fold, model, step, period, yhat): one ensemble per series, fold and model.
+
+    Fits that fail are added to ``failures`` as (series_id, fold, model, reason).
+    """
     train = materialize(tree_rows(centered, folds, drivers, freq, settings))
     presets = {m: T.PRESETS[m].with_(n_trees=settings.n_trees, seed=settings.seed) for m in models}
     fits = fit_trees(train, presets)
+    if failures is not None:
+        fits = materialize(fits)
+        failures.append(fits.filter("trees.reason IS NOT NULL").select("series_id", "fold", "model", "trees.reason"))
+    fits = fits.filter("trees.reason IS NULL")
     p = freq_params(freq)
     step = _roll_udf(settings.n_lags, p["roll_short"], p["roll_long"], settings.clamp_sigmas if clamp else None)
     paths = _paths(train, centered, folds, future, drivers, freq, settings).join(fits, ["series_id", "fold"])

@@ -56,7 +56,7 @@ PRESETS = {
     "importance": TreeParams(rate=0.05, depth=4, rows=0.8, columns=0.8),
 }
 
-NODES = "struct<feature:array<int>,threshold:array<double>,child:array<int>,value:array<double>,root:array<int>,base:double>"
+NODES = "struct<feature:array<int>,threshold:array<double>,child:array<int>,value:array<double>,root:array<int>,base:double,reason:string>"
 
 
 def draw(*parts) -> np.ndarray:
@@ -256,17 +256,30 @@ def exchange_importance(ensemble: dict, x: np.ndarray, seed: int) -> np.ndarray:
 
 def fit_udf(presets: dict[str, TreeParams]):
     """Column function (preset name, x: array of rows, y) -> node arrays."""
+    names = ["feature", "threshold", "child", "value", "root", "base", "reason"]
+
+    def checked(x, y) -> tuple[np.ndarray, np.ndarray]:
+        x, y = np.stack(x).astype(float), np.asarray(y, dtype=float)
+        if not (np.isfinite(x).all() and np.isfinite(y).all()):
+            raise ValueError("a training value is missing or not finite")
+        return x, y
+
     @F.pandas_udf(NODES)
     def fit(name: pd.Series, xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
         out: list = [None] * len(name)
+        ready: dict = {}
+        for i, (x, y) in enumerate(zip(xs, ys)):
+            try:
+                ready[i] = checked(x, y)
+            except (TypeError, ValueError) as e:
+                out[i] = {"reason": f"{type(e).__name__}: {e}"}
         for preset in sorted(name.unique()):
-            at = np.flatnonzero((name == preset).to_numpy())
+            at = [i for i in np.flatnonzero((name == preset).to_numpy()) if i in ready]
             for low in range(0, len(at), TOGETHER):
                 part = at[low : low + TOGETHER]
-                found = fit_together([np.stack(xs.iloc[i]) for i in part], [np.asarray(ys.iloc[i]) for i in part], presets[preset])
-                for i, one in zip(part, found):
+                for i, one in zip(part, fit_together([ready[i][0] for i in part], [ready[i][1] for i in part], presets[preset])):
                     out[i] = one
-        return pd.DataFrame(out, columns=["feature", "threshold", "child", "value", "root", "base"])
+        return pd.DataFrame(out, columns=names).astype(object).where(lambda v: v.map(lambda e: isinstance(e, (np.ndarray, str)) or e == e), None)
 
     return fit
 

@@ -12,7 +12,7 @@ from tidemark.operators import selection as S
 from tidemark.operators.impute import time_interpolate
 from tidemark.operators.panel import to_long, trim_series, validate_series
 from tidemark.session import materialize
-from tidemark.sources.sinks import summary_document, write_csv, write_scores, write_summary_json, write_table
+from tidemark.sources.sinks import summary_document, write_csv, write_scores, write_summary_json, write_keyed
 from tidemark.settings import DEFAULTS, Settings
 
 KEYS = ["series_id", "variable"]
@@ -68,12 +68,12 @@ def mask_unselected(panel: DataFrame, selected: DataFrame, drivers: Sequence[str
         d: F.when(F.array_contains("_own", d), F.col(d)).otherwise(0.0) for d in drivers}).drop("_own")
 
 
-def write_feature_selection(tables: dict[str, DataFrame], folder: str) -> None:
+def write_feature_selection(tables: dict[str, DataFrame], folder: str, run_id: str | None = None) -> None:
     """Parquet hand-over tables, the score files with three decimals and the JSON summary."""
     for name in ("panel", "selected"):
-        write_table(tables[name], f"{folder}/{name}")
+        write_keyed(tables[name], f"{folder}/{name}", run_id)
     for label in ("mi", "elasticnet", "tree"):
-        write_scores(tables["scores"].withColumn("score", F.col(label)), f"{folder}/{label}_scores")
+        write_scores(tables["scores"].withColumn("score", F.col(label)), f"{folder}/{label}_scores", run_id)
     write_csv(tables["selected"], f"{folder}/selected_csv")
     write_csv(tables["rejected"], f"{folder}/rejected_csv")
     write_summary_json(tables["summary"], f"{folder}/summary")

@@ -17,7 +17,7 @@ from tidemark.operators.target_models import forecast_models
 from tidemark.plans.feature_selection import mask_unselected
 from tidemark.plans.model_selection import fill_unselected, selected_long
 from tidemark.session import materialize
-from tidemark.sources.sinks import append_risk_summary, write_csv, write_table
+from tidemark.sources.sinks import append_risk_summary, write_csv, write_keyed
 from tidemark.settings import DEFAULTS, Settings
 
 
@@ -63,6 +63,6 @@ def _steps():
 
 def write_future_forecast(tables: dict[str, DataFrame], folder: str, run_id: str) -> None:
     for name in ("future_drivers", "history_future", "forecast_table", "model_selected", "anomalies"):
-        write_table(tables[name], f"{folder}/{name}")
+        write_keyed(tables[name], f"{folder}/{name}", run_id)
     write_csv(tables["anomalies"], f"{folder}/anomalies_csv", rounded=False)
     append_risk_summary(tables["risk"], f"{folder}/risk", run_id)
