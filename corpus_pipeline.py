@@ -7,9 +7,11 @@ Each stage is written as Parquet and read again by the next, which works on all
 3. bytes that repeat a string of 50 bytes of a document with a smaller id. Bytes that no longer form a whole character go too,
    and documents of which nothing is left;
 4. documents contaminated by the benchmark;
-5. nothing: texts become token ids.
+5. nothing: texts become token ids; language and source come along.
 
-A stage that removes documents decides by text (1, 4) or by id (2); documents with a null id are never near duplicates.
+A stage that removes documents decides by text (1, 4) or by id (2); documents with a null id are never near duplicates. Each stage
+takes an empty table, columns of any name, null and empty texts, repeated rows and texts of any length (never cut; a task holds a
+multiple of the longest one, as its operator says), and all but the last return the columns they were given.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ def text_key() -> Column:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is rejected go, and with them null and empty texts; equal texts share their fate."""
     ship_package(spark)
     model = language.learn(docs, F.coalesce(bucket_of("doc_id", 4) != 2, F.lit(True)))
     known = language.identify(docs.select(text_key().alias("text_key"), "text"), model, doc_id="text_key")
@@ -35,6 +38,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near duplicates the smallest id stays, of rows that share an id one; rows without an id stay."""
     ship_package(spark)
     groups = kept(jaccard_join.near_duplicates(docs.select("doc_id", "text"), n=5, num=80), "groups")
     gone = groups.where("component_id <> doc_id").select("doc_id")
@@ -48,16 +52,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated bytes go, and documents of which nothing is left; texts that repeat nothing stay as they are, empty ones too."""
     ship_package(spark)
     others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    cut = suffix_dedup.remove_repeats(docs, carry=others)
-    cut = cut.mapInArrow(suffix_dedup.whole_characters, suffix_dedup.with_text(cut.schema))
+    cut = suffix_dedup.remove_repeats(docs, carry=others, as_text=True)
     made = {"text": F.col("whole_text"), "n_chars": F.length("whole_text").cast("long")}
     return cut.where("n_removed = 0 OR whole_text <> ''").select(*(
         made[c].cast(docs.schema[c].dataType).alias(c) if c in made else F.col("carry")[c].alias(c) for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by the benchmark go; equal texts share their fate, null and empty texts stay."""
     ship_package(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_contamination(docs.select(text_key().alias("text_key"), "text"), benchmark, doc_id="text_key")
@@ -65,9 +70,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row becomes its token ids, null texts none; repeated rows are encoded each."""
     ship_package(spark)
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, with_ids=True)
+    return byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, with_ids=True, carry=("lang", "source"))
 
 
 STAGES = [
