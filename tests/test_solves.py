@@ -61,3 +61,23 @@ def test_differenced_regression_follows_a_trend_out_of_its_differences_band(spar
     fits = fit_linear(c, folds, ["x1", "x2"], "M", ["arx"])
     got = forecast_linear(fits, c, folds, FO.holdout_rows(panel, folds), ["x1", "x2"], "M", models=["arx"]).join(panel, ["series_id", "period"])
     assert got.agg(F.max(F.abs(F.col("yhat") / F.col("target") - 1))).first()[0] < 0.45
+
+
+def test_elastic_net_gap_certifies_the_optimum():
+    from tidemark.operators import gram as G
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 8)) @ (np.eye(8) + 0.4 * rng.normal(size=(8, 8)))
+    y = x[:, 0] - 2 * x[:, 3] + rng.normal(size=200)
+    z = np.column_stack([(x - x.mean(0)) / x.std(0), y - y.mean()])
+    parts = [np.column_stack([np.ones(len(p)), p]) for p in np.array_split(z, 6)]
+    coef, penalty, ratio, gap = G.elastic_net_fit([p.T @ p for p in parts], (0.1, 0.5, 0.9))
+    cov = z.T @ z / len(z)
+    assert 0 <= gap + 1e-15 and gap <= G.GAP
+    assert G.duality_gap(cov, coef[1:] + 0.05, penalty, ratio) > 1e-5
+
+    def loss(w):
+        return 0.5 * np.mean((z[:, -1] - z[:, :-1] @ w) ** 2) + penalty * (ratio * np.abs(w).sum() + (1 - ratio) / 2 * w @ w)
+
+    best = loss(coef[1:])
+    assert all(loss(coef[1:] + 1e-3 * rng.normal(size=8)) >= best - 1e-12 for _ in range(200))

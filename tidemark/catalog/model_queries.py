@@ -655,6 +655,18 @@ def _(spark, sf):
     return I.elasticnet_rank(panel(spark, sf), DRIVERS)
 
 
+@query("elasticnet_optimality", "series_id variable optimal", """
+SELECT DISTINCT series_id, variable, true AS optimal FROM long""", "long")
+def _(spark, sf):
+    """The conditions of the optimum, checked on the rows for every series and driver; the twin lists what must hold."""
+    return I.elasticnet_optimality(panel(spark, sf), DRIVERS).withColumn("optimal", F.col("excess") < 1e-6)
+
+
+@query("elasticnet_gap", "series_id exact", "SELECT DISTINCT series_id, true AS exact FROM panel", "panel")
+def _(spark, sf):
+    return I.elasticnet_fits(panel(spark, sf), DRIVERS).withColumn("exact", F.col("gap") <= G.GAP)
+
+
 @query("tree_importance_rank", "series_id variable score:2")
 def _(spark, sf):
     return I.tree_importance_rank(materialize(panel(spark, sf)), DRIVERS)

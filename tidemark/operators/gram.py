@@ -87,11 +87,47 @@ def fold_back(beta: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return beta[:-1] + beta[-1] * weights
 
 
-def elastic_net_cv(segments: list[np.ndarray], ratios: Sequence[float], n_alphas: int = 100, eps: float = 1e-3,
-                   steps: int = 500, tol: float = 1e-6) -> np.ndarray:
+def duality_gap(cov: np.ndarray, w: np.ndarray, lam: float, ratio: float) -> float:
+    """How far the penalised loss of w can be above the least one, as a share of the target's variance.
+
+    ``cov`` holds the second moments of [columns, target]; the loss is half the mean squared residual plus
+    lam * (ratio * |w|_1 + (1 - ratio) / 2 * |w|_2^2).
+    """
+    c, b, yy = cov[:-1, :-1], cov[:-1, -1], cov[-1, -1]
+    residual = max(yy - 2 * b @ w + w @ c @ w, 0.0)
+    l1, l2 = lam * ratio, lam * (1 - ratio)
+    slope = np.max(np.abs(b - c @ w - l2 * w)) if len(w) else 0.0
+    # The largest multiple of the residual that is feasible in the dual problem.
+    scale = min(1.0, l1 / slope) if slope > 0 else 1.0
+    gap = 0.5 * residual * (1 + scale * scale) + l1 * np.abs(w).sum() - scale * (yy - b @ w) + 0.5 * l2 * (1 + scale * scale) * (w @ w)
+    return float(gap / max(yy, 1e-300))
+
+
+def polished(cov: np.ndarray, w: np.ndarray, lam: float, ratio: float) -> np.ndarray:
+    """The exact solution for the signs of w, if it keeps them; else w."""
+    active = np.flatnonzero(w)
+    if not len(active):
+        return w
+    c = cov[np.ix_(active, active)] + lam * (1 - ratio) * np.eye(len(active))
+    out = np.zeros_like(w)
+    out[active] = np.linalg.lstsq(c, cov[active, -1] - lam * ratio * np.sign(w[active]), rcond=None)[0]
+    return out if (np.sign(out) == np.sign(w)).all() else w
+
+
+GAP = 1e-8
+
+
+def elastic_net_cv(segments: list[np.ndarray], ratios: Sequence[float], **limits) -> np.ndarray:
+    """Intercept and coefficients of ``elastic_net_fit``."""
+    return elastic_net_fit(segments, ratios, **limits)[0]
+
+
+def elastic_net_fit(segments: list[np.ndarray], ratios: Sequence[float], n_alphas: int = 100, eps: float = 1e-3,
+                    steps: int = 500, tol: float = 1e-6) -> tuple[np.ndarray, float, float, float]:
     """Cross-validated elastic net on standardised columns from the sums of time segments.
 
-    Segment 0 starts the first training slice and segment k is the k-th test slice, so
+    Returns intercept and coefficients, the penalty, its mixing ratio and the duality gap. The last fit goes on until the
+    gap is at most GAP of the target's variance. Segment 0 starts the first training slice and segment k is the k-th test slice, so
     every slice is a running total. All penalties and slices advance together.
     """
     total = np.sum(segments, axis=0)
@@ -111,7 +147,7 @@ def elastic_net_cv(segments: list[np.ndarray], ratios: Sequence[float], n_alphas
     full_cov, full_mean = centred(np.sum(std, axis=0))
     peak = np.max(np.abs(full_cov[:p, p]))
     if not peak > 0:
-        return np.concatenate([[full_mean[p]], np.zeros(p)])
+        return np.concatenate([[full_mean[p]], np.zeros(p)]), 0.0, 1.0, 0.0
     grid = np.array([(r, a) for r in ratios for a in np.geomspace(peak / r, peak / r * eps, n_alphas)])
     trains = [np.sum(std[: k + 1], axis=0) for k in range(len(std) - 1)]
     covs, means = zip(*[centred(s) for s in trains]) if trains else ((), ())
@@ -152,8 +188,14 @@ def elastic_net_cv(segments: list[np.ndarray], ratios: Sequence[float], n_alphas
             mse += sse / test[0, 0] / len(trains)
         best = int(np.argmin(mse))
     ratio, lam = grid[best]
-    coef = descend(full_cov[None], np.array([lam]), np.array([ratio]), 20 * steps)[0, :, 0]
-    return np.concatenate([[full_mean[p] - full_mean[:p] @ coef], coef])
+    for more in (1, 4, 20, 80):
+        coef = descend(full_cov[None], np.array([lam]), np.array([ratio]), more * steps)[0, :, 0]
+        exact = polished(full_cov, coef, lam, ratio)
+        gap, coef = min(((duality_gap(full_cov, v, lam, ratio), v) for v in (exact, coef)), key=lambda x: x[0])
+        if gap <= GAP:
+            break
+        tol /= 100
+    return np.concatenate([[full_mean[p] - full_mean[:p] @ coef], coef]), float(lam), float(ratio), gap
 
 
 def unscale(beta: np.ndarray, total: np.ndarray) -> np.ndarray:

@@ -36,8 +36,8 @@ def time_slices(panel: DataFrame, n_slices: int = CV_SLICES) -> DataFrame:
     return panel.withColumn("cv_slice", F.when(rn < first, 0).otherwise(1 + F.floor((rn - first) / test)).cast("int"))
 
 
-def elasticnet_rank(panel: DataFrame, variables: Sequence[str], ratios: Sequence[float] = L1_RATIOS) -> DataFrame:
-    """|coefficient| per standardised driver of a cross-validated elastic net, per series."""
+def elasticnet_fits(panel: DataFrame, variables: Sequence[str], ratios: Sequence[float] = L1_RATIOS) -> DataFrame:
+    """(series_id, coef, penalty, ratio, gap): cross-validated elastic nets on standardised drivers, and how exact they are."""
     z = standardize(panel.filter("target IS NOT NULL"), variables)
     centred = z.withColumn("_y", F.col("target") - F.avg("target").over(Window.partitionBy("series_id")))
     design = time_slices(centred).select("series_id", "cv_slice", F.array(*variables, "_y").alias("x"))
@@ -45,11 +45,42 @@ def elasticnet_rank(panel: DataFrame, variables: Sequence[str], ratios: Sequence
     cells = sums.groupBy("series_id").agg(F.array_sort(F.collect_list(F.struct("cv_slice", "g"))).getField("g").alias("g"))
     ratios = tuple(ratios)
 
-    @F.pandas_udf("array<double>")
-    def rank(grams: pd.Series) -> pd.Series:
-        return pd.Series([np.abs(G.elastic_net_cv([G.unpack(g) for g in gs], ratios)[1:]) for gs in grams])
+    @F.pandas_udf("struct<coef:array<double>,penalty:double,ratio:double,gap:double>")
+    def fit(grams: pd.Series) -> pd.DataFrame:
+        rows = []
+        for gs in grams:
+            coef, penalty, ratio, gap = G.elastic_net_fit([G.unpack(g) for g in gs], ratios)
+            rows.append((coef[1:], penalty, ratio, gap))
+        return pd.DataFrame(rows, columns=["coef", "penalty", "ratio", "gap"])
+
+    return cells.select("series_id", fit("g").alias("f")).select("series_id", "f.*")
 
-    return _unstack(cells.withColumn("score", rank("g")), variables, "score")
+
+def elasticnet_rank(panel: DataFrame, variables: Sequence[str], ratios: Sequence[float] = L1_RATIOS) -> DataFrame:
+    """|coefficient| per standardised driver of a cross-validated elastic net, per series."""
+    fits = elasticnet_fits(panel, variables, ratios).withColumn("score", F.transform("coef", F.abs))
+    return _unstack(fits, variables, "score")
+
+
+def elasticnet_optimality(panel: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """(series_id, variable, coef, excess): by how much a driver's slope breaks the conditions of the optimum.
+
+    Computed from the rows, not from the solver's sums: the mean product of driver and residual must not exceed the
+    penalty, and must equal it, with the coefficient's sign, where the coefficient isn't zero. ``excess`` is a share of the target's deviation.
+    """
+    z = standardize(panel.filter("target IS NOT NULL"), variables)
+    names = _names(variables)
+    rows = z.join(elasticnet_fits(panel, variables), "series_id").withColumn("_x", F.array(*variables))
+    w = Window.partitionBy("series_id")
+    fitted = F.aggregate(F.zip_with("_x", "coef", lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+    rows = rows.withColumn("_r", F.col("target") - F.avg("target").over(w) - fitted)
+    each = rows.select("series_id", "target", "_r", "penalty", "ratio", F.explode(F.arrays_zip(names.alias("variable"), F.col("_x").alias("x"), F.col("coef").alias("coef"))).alias("v"))
+    sums = each.groupBy("series_id", "v.variable", "v.coef", "penalty", "ratio").agg(
+        F.avg(F.col("v.x") * F.col("_r")).alias("_g"), F.stddev_pop("target").alias("_sd"))
+    slope = F.col("_g") - F.col("penalty") * (1 - F.col("ratio")) * F.col("coef")
+    most = F.col("penalty") * F.col("ratio")
+    excess = F.when(F.col("coef") == 0, F.greatest(F.abs(slope) - most, F.lit(0.0))).otherwise(F.abs(slope - most * F.signum("coef")))
+    return sums.select("series_id", "variable", "coef", (excess / F.col("_sd")).alias("excess"))
 
 
 def tree_importance_rank(panel: DataFrame, variables: Sequence[str], settings: Settings = DEFAULTS) -> DataFrame:
