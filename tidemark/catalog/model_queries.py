@@ -17,6 +17,7 @@ from tidemark.operators import importance as I
 from tidemark.operators import metrics as M
 from tidemark.operators import selection as S
 from tidemark.operators import univariate as U
+from tidemark.operators.differencing import differencing, seasonal_strength
 from tidemark.operators.anomalies import driver_anomalies, path_stats, series_risk
 from tidemark.operators.features import history_array
 from tidemark.operators.linear_models import LINEAR_MODELS, center_panel, fit_linear, forecast_linear
@@ -567,6 +568,56 @@ def _(spark, sf):
     return rows.withColumn("step", F.col("step") + 1)
 
 
+# Two-sided moving averages of twelve months, ends halved; only rows with half a year on either side have one.
+cte("season_d", """
+SELECT series_id, variable, rn % 12 AS slot, v - ma AS d FROM (
+  SELECT *, i + 1 AS rn, (sum(v) OVER (PARTITION BY series_id, variable ORDER BY i ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)
+    + (lag(v, 6) OVER (PARTITION BY series_id, variable ORDER BY i) + lead(v, 6) OVER (PARTITION BY series_id, variable ORDER BY i)) / 2) / 12 AS ma FROM obs)
+WHERE ma IS NOT NULL""", "obs")
+cte("strength", """
+SELECT series_id, variable, CASE WHEN count(DISTINCT slot) = 12 THEN greatest(1 - var_pop(r) / nullif(var_pop(d), 0), 0) END AS strength
+FROM (SELECT *, d - avg(d) OVER (PARTITION BY series_id, variable, slot) AS r FROM season_d) GROUP BY 1, 2""", "season_d")
+cte("diffed", """
+WITH zero AS (
+  SELECT o.series_id, o.variable, i, CASE WHEN strength > 0.64 THEN v - lag(v, 12) OVER (PARTITION BY o.series_id, o.variable ORDER BY i) ELSE v END AS w0
+  FROM obs o JOIN strength s USING (series_id, variable)),
+one AS (SELECT *, w0 - lag(w0) OVER (PARTITION BY series_id, variable ORDER BY i) AS w1 FROM zero),
+two AS (SELECT *, w1 - lag(w1) OVER (PARTITION BY series_id, variable ORDER BY i) AS w2 FROM one)
+SELECT series_id, variable, i, unnest([0, 1, 2]) AS d, unnest([w0, w1, w2]) AS w FROM two""", "obs strength")
+cte("kpss", """
+WITH e AS (
+  SELECT series_id, variable, d, w, row_number() OVER (PARTITION BY series_id, variable, d ORDER BY i) AS t, w - avg(w) OVER (PARTITION BY series_id, variable, d) AS e
+  FROM diffed WHERE w IS NOT NULL),
+c AS (SELECT *, sum(e) OVER (PARTITION BY series_id, variable, d ORDER BY t) AS s FROM e),
+lagged AS (
+  SELECT a.series_id, a.variable, a.d, b.t - a.t AS k, sum(a.e * b.e) AS g FROM e a JOIN e b ON a.series_id = b.series_id AND a.variable = b.variable
+  AND a.d = b.d AND b.t - a.t BETWEEN 1 AND 9 GROUP BY 1, 2, 3, 4),
+sums AS (
+  SELECT series_id, variable, d, count(*) AS n, sum(s * s) AS ss, sum(e * e) AS ee, floor(3 * sqrt(count(*)) / 13) AS l, max(abs(e)) <= 1e-9 * (1 + max(abs(w))) AS still
+  FROM c GROUP BY 1, 2, 3)
+SELECT series_id, variable, d, any_value(n) AS n, CASE WHEN any_value(still) THEN 0 ELSE
+  any_value(ss) / (any_value(n) * (any_value(ee) + 2 * coalesce(sum((1 - k / (l + 1)) * g) FILTER (WHERE k <= l), 0))) END AS kpss
+FROM sums LEFT JOIN lagged USING (series_id, variable, d) GROUP BY 1, 2, 3""", "diffed")
+
+
+@query("seasonal_strength", "series_id variable strength:6", "SELECT * FROM strength", "strength")
+def _(spark, sf):
+    return seasonal_strength(to_long(panel(spark, sf), DRIVERS), ["series_id", "variable"], 12)
+
+
+@query("kpss_statistics", "series_id variable d:i kpss:6", "SELECT * FROM kpss", "kpss")
+def _(spark, sf):
+    found = differencing(to_long(panel(spark, sf), DRIVERS), ["series_id", "variable"], 12)
+    return found.select("series_id", "variable", F.posexplode("kpss").alias("d", "kpss"))
+
+
+@query("differencing_order", "series_id variable seasonal_d:i d:i", """
+SELECT series_id, variable, CASE WHEN any_value(strength) > 0.64 THEN 1 ELSE 0 END AS seasonal_d, coalesce(min(d) FILTER (WHERE kpss <= 0.463), 2) AS d
+FROM kpss JOIN strength USING (series_id, variable) GROUP BY 1, 2""", "kpss strength")
+def _(spark, sf):
+    return differencing(to_long(panel(spark, sf), DRIVERS), ["series_id", "variable"], 12)
+
+
 @query("ar_search_forecast", "series_id variable p:i d:i seasonal_p:i seasonal_d:i aic:3 step:i yhat:4")
 def _(spark, sf):
     a = U.ar_search_forecast(_arrays(spark, sf), "M")

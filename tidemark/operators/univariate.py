@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import freq_params, period_add
 from tidemark.operators import gram as G
+from tidemark.operators.differencing import differencing
 from tidemark.operators.recursion import recursive_path
 
 # Smoothing grid (level, trend, season) and the half-widths of the local second pass.
@@ -206,22 +207,22 @@ def _best_order(full: np.ndarray, max_p: int, seasonal: bool, intercept: bool):
     return best
 
 
-def _ar_udf(m: int, max_p: int, max_d: int):
+def _ar_udf(m: int, max_p: int):
     @F.pandas_udf("struct<p:int,d:int,seasonal_p:int,seasonal_d:int,aic:double,intercept:double,phi:array<double>>")
-    def choose(ys: pd.Series) -> pd.DataFrame:
+    def choose(ys: pd.Series, plain: pd.Series, seasons: pd.Series) -> pd.DataFrame:
         out = []
-        for y in ys:
+        for y, d, big in zip(ys, plain, seasons):
             y = np.asarray(y, dtype=float)
             if len(y) < 4:
                 out.append((None,) * 7)
                 continue
-            cands = []
-            for big, d in product((0, 1) if m > 1 and len(y) >= 4 * m else (0,), range(max_d + 1)):
+            d, big = int(d), int(big)
+            w = np.diff(y[m:] - y[:-m] if big else y, d)
+            while len(w) < 3:
+                d -= 1
                 w = np.diff(y[m:] - y[:-m] if big else y, d)
-                if len(w) >= 3:
-                    cands.append((w.var(), big, d, w))
-            _, big, d, w = min(cands, key=lambda c: c[:3])
-            seasonal = m > 1 and len(w) >= 3 * m
+            # The seasonal lag needs more rows than a full model has columns.
+            seasonal = m > 1 and len(w) - max(m, max_p) > max_p + 2
             p, s, aic, b = _best_order(_lagged_sums(w, max_p, m, seasonal), max_p, seasonal, d + big < 2)
             poly = np.zeros(max(p, m if s else 0) + 1)
             poly[0] = 1
@@ -238,24 +239,27 @@ def _ar_udf(m: int, max_p: int, max_d: int):
     return choose
 
 
-def ar_search_forecast(arrays: DataFrame, freq: str, name: str = "arima") -> DataFrame:
+def ar_search_forecast(arrays: DataFrame, freq: str, name: str = "arima", keys: Sequence[str] = ("series_id", "variable")) -> DataFrame:
     """Adds the path of the best autoregression by AIC: p, one seasonal lag, differencing.
 
-    Differencing (d, D) is the one with the least variance; orders compete on one common
+    Differencing (d, D) is that of the tests in ``differencing``; orders compete on one common
     sample through sub-matrices of a single cross-product per path. The winner is turned
-    into weights on past levels and rolled forward by the shared recursion.
+    into weights on past levels and rolled forward by the shared recursion. ``keys`` name a path.
     """
     m = freq_params(freq)["season"]
     max_p, max_d = (3, 1) if m >= 52 else (5, 2)
-    fit = f"{name}_fit"
-    out = arrays.withColumn(fit, _ar_udf(m, max_p, max_d)("y"))
+    fit, keys = f"{name}_fit", list(keys)
+    rows = arrays.select(*keys, F.posexplode("y").alias("_i", "value"))
+    orders = differencing(rows, keys, m, max_d, "_i").select(*keys, F.col("d").alias("_d"), F.col("seasonal_d").alias("_big"))
+    out = arrays.join(orders, keys, "left").withColumn(
+        fit, _ar_udf(m, max_p)("y", F.coalesce("_d", F.lit(0)), F.coalesce("_big", F.lit(0)))).drop("_d", "_big")
     effects = F.when(F.col("horizon") > 0, F.array_repeat(F.col(f"{fit}.intercept"), F.col("horizon")))
     return out.withColumn(name, recursive_path("y", f"{fit}.phi", effects))
 
 
 def driver_models(arrays: DataFrame, freq: str, keys: Sequence[str]) -> DataFrame:
     """All three models: (keys, model, step, period, yhat). ``last_period`` anchors step 0."""
-    df = theta_forecast(ets_forecast(ar_search_forecast(arrays, freq), freq), freq)
+    df = theta_forecast(ets_forecast(ar_search_forecast(arrays, freq, keys=keys), freq), freq)
     paths = F.create_map(F.lit("ets"), F.col("ets.path"), F.lit("arima"), F.col("arima"), F.lit("theta"), F.col("theta.path"))
     rows = df.select(*keys, "last_period", F.explode(paths).alias("model", "path"))
     rows = rows.select(*keys, "last_period", "model", F.posexplode("path").alias("pos", "yhat"))
