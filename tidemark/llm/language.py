@@ -30,6 +30,7 @@ from tidemark.llm.arrow import bucket_of, lists, text_chunks
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
 WIDTH = 12
+SMALL_CHUNK = 1 << 20
 SAMPLE_ROWS = 3_000
 # At least so many passes over the sample, and so many steps (more passes where the sample is small).
 EPOCHS, LEAST_STEPS = 6, 14_400
@@ -78,7 +79,7 @@ def counted(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], li
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, data, offsets in text_chunks(batches, "text"):
+    for rows, data, offsets in text_chunks(batches, "text", SMALL_CHUNK):
         buckets, counts = counted(data, offsets)
         sizes = np.array([len(b) for b in buckets])
         yield pa.RecordBatch.from_arrays(
@@ -173,7 +174,7 @@ def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         n = len(model.langs)
-        for rows, data, offsets in text_chunks(batches, "text"):
+        for rows, data, offsets in text_chunks(batches, "text", SMALL_CHUNK):
             sums, total = np.zeros((len(rows), n)), np.zeros(len(rows))
             for buckets, at in features(data, offsets):
                 filled = np.flatnonzero(np.diff(at))
