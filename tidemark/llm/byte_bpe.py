@@ -41,7 +41,7 @@ def read_ranks(path: str) -> bytes:
 
 
 def build(ranks: bytes, pattern: str) -> tuple[tiktoken.Encoding, list[bytes], list[str]]:
-    """The encoding, each id's bytes and each id as decimal text; made once per worker."""
+    """The encoding, each id's bytes and each id as decimal text; made once per task."""
     key = hashlib.sha256(ranks + pattern.encode()).hexdigest()
     if key not in _BUILT:
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
@@ -94,6 +94,10 @@ def _rows(shared, pattern: str, with_ids: bool):
                 columns.append(rows.column(name))
                 names.append(name)
             yield pa.RecordBatch.from_arrays(columns, names)
+        # A worker that goes on to other work needs no vocabulary.
+        del encoding, raw, decimal
+        _BUILT.clear()
+        settle()
 
     return run
 

@@ -16,6 +16,7 @@ clean, an empty table of documents gives an empty result; other columns are igno
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import lists, text_buffer, text_chunks
+from tidemark.llm.arrow import chained, lists, text_buffer, text_chunks
 from tidemark.llm.words import PLAIN, grams, within_text, word_hashes
 
 WINDOW, GRAM = 13, 7
@@ -188,11 +189,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_key"),
                        F.col(text).cast("string").alias("text"))
     context = docs.sparkSession.sparkContext
-    passes = [read.mapInArrow(_scan(context.broadcast(index)), HITS) for index in _blocks(benchmark, item_id, item_text, block_bytes)]
-    found = passes[0]
-    if len(passes) > 1:
-        for other in passes[1:]:
-            found = found.unionByName(other)
+    scans = [_scan(context.broadcast(index)) for index in _blocks(benchmark, item_id, item_text, block_bytes)]
+    if len(scans) == 1:
+        # Scan and finish in one worker.
+        done = read.mapInArrow(chained(scans[0], _finish), f"{HITS}, {RESULT}")
+    else:
+        passes = [read.mapInArrow(scan, HITS) for scan in scans]
+        found = functools.reduce(DataFrame.unionByName, passes)
         # Equal rows have equal hits; as many come back as went in.
         found = found.groupBy("doc_id", "text_key").agg(
             F.max("n_words").alias("n_words"), F.flatten(F.collect_list("starts")).alias("starts"),
@@ -200,7 +203,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
             (F.count(F.lit(1)) / len(passes)).cast("int").alias("copies"))
         found = found.select("doc_id", "text_key", "n_words", "starts", "ends", "items",
                              F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).drop("copy")
-    return found.mapInArrow(_finish, f"{HITS}, {RESULT}").select(
+        done = found.mapInArrow(_finish, f"{HITS}, {RESULT}")
+    return done.select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "starts", "ends")
 
 
