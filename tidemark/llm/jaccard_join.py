@@ -44,7 +44,9 @@ HUBS = 2
 SKETCH_BITS = 21
 SLICES = 32
 BUCKET_BYTES = 6 << 20
-FILTER_BITS = 1 << 28
+FILTER_BITS = 1 << 26
+# Bytes of text taken at once where the filter and the ranks are in memory as well.
+SMALL_CHUNK = 1 << 20
 KEY_SEEDS = mix(np.arange(1, HUB_KEYS + 1, dtype=np.uint64) << np.uint64(32))
 SET_SEED = np.uint64(0x5851F42D4C957F2D)
 
@@ -146,7 +148,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, ran
 
     Yields a chunk's rows, the sets' ids and sizes, and set, place and rank within the set of all those n-grams.
     """
-    for rows, data, offsets in text_chunks(rows_in_bitmap(chosen, "doc_id", True)(batches), "text"):
+    for rows, data, offsets in text_chunks(rows_in_bitmap(chosen, "doc_id", True)(batches), "text", SMALL_CHUNK):
         hashes, sizes = shingle_sets(data, offsets, n)
         order = ranks[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
         # The place in the global order stands for the n-gram from here on.
