@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,28 @@ def test_more_discount_seats_more_tables():
     assert 1 < few < many < 50
 
 
+def test_what_is_sent_is_compressed():
+    rng = np.random.default_rng(4)
+    none = np.zeros(0, np.uint64)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 400) % 5000) for _ in range(200)]
+    docs = pa.RecordBatch.from_pydict({"text": texts, "train": [i % 7 > 0 for i in range(200)]})
+    asked = pa.Table.from_batches(pitman_yor._ask(20_000, 1, True, none)(iter([docs])))
+    n = sum(len(pitman_yor.unpack_sorted(x)) for x in asked["ids"].to_pylist())
+    # Twelve bytes a pair before, both ways.
+    assert len(asked) > 10 and n > 20_000
+    assert sum(map(len, asked["ids"].to_pylist() + asked["counts"].to_pylist())) < 8 * n
+    answers = pitman_yor._contexts(1, none)(asked)
+    assert sum(map(len, answers.filter(pa.compute.equal(answers["kind"], pitman_yor.PAIRS))["numbers"].to_pylist())) < 4 * n
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(5)
+    for ids in (np.zeros(0, np.uint64), np.array([0, 1, 2**64 - 1], np.uint64), np.unique(rng.integers(0, 2**64, 5000, np.uint64))):
+        assert np.array_equal(pitman_yor.unpack_sorted(pitman_yor.pack_sorted(ids)), ids)
+    for counts in (np.zeros(0, np.uint64), np.array([0, 255, 256, 2**32 - 1], np.uint64), rng.integers(0, 70_000, 5000, np.uint64)):
+        assert np.array_equal(pitman_yor.unpack_counts(pitman_yor.pack_counts(counts)), counts.astype(np.int64))
+
+
 def test_scores_of_nothing(spark):
     assert pitman_yor.score_documents(frame(spark, []), F.lit(False)).collect() == []
     got = pitman_yor.score_documents(frame(spark, [(1, None), (2, "")]), F.col("doc_id") == 2).collect()

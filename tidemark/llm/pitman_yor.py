@@ -17,6 +17,7 @@ How it is distributed:
 4. Chunks meet their answers and score their documents.
 
 Everything gathered is proportional to the corpus; only totals and the hot contexts (at most HOT_WORDS) are broadcast.
+What is sent is compressed by the task that packs it: else the JVM's readers, sorters and writers hold it several times as large.
 
 Tokens are lower-cased words between white space and one end token for each document. Null and empty texts have the end
 token alone. A null id counts as a training row. Repeated rows count and are scored each; an empty table gives an empty result; other
@@ -37,6 +38,7 @@ from tidemark.llm.arrow import bucket_of, chunks, kept, settle, settled, text_bu
 from tidemark.llm.words import SPACED, mix, word_hashes
 
 CHUNK = 6 << 20
+SMALL_CHUNK = 1 << 20
 BUCKET_BYTES = 8 << 20
 HOT_WORDS = 256
 BURN_IN, SAMPLES = 3, 2
@@ -79,14 +81,32 @@ def columns_of(raw: bytes, n: int) -> np.ndarray:
     return np.stack([from_planes(raw[i * size : (i + 1) * size]) for i in range(n)])
 
 
+def squeezed(raw: bytes) -> bytes:
+    """Compressed, behind the length of the original."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unsqueezed(raw: bytes) -> bytes:
+    return pa.decompress(memoryview(raw)[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True)
+
+
+def pack_counts(x: np.ndarray) -> bytes:
+    return squeezed(planes(x))
+
+
+def unpack_counts(raw: bytes) -> np.ndarray:
+    return from_planes(unsqueezed(raw))
+
+
 def pack_sorted(ids: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as differences, in four columns of 16 bits."""
+    """Sorted 64-bit numbers as differences, in four columns of 16 bits, compressed."""
     step = np.diff(ids, prepend=np.uint64(0))
-    return step.astype("<u8").view(np.uint16).reshape(-1, 4).T.tobytes()
+    return squeezed(step.astype("<u8").view(np.uint16).reshape(-1, 4).T.tobytes())
 
 
 def unpack_sorted(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint16).reshape(4, -1).T).view("<u8").reshape(-1), dtype=np.uint64)
+    steps = np.frombuffer(unsqueezed(raw), np.uint16).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(steps.T).view("<u8").reshape(-1), dtype=np.uint64)
 
 
 def route(ids: np.ndarray, buckets: int, hot: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
@@ -125,7 +145,7 @@ def chunked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int,
 def chunk_tokens(rows: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for batch in rows:
         data, offsets = text_buffer(batch.column("text"))
-        for a, b in chunks(offsets):
+        for a, b in chunks(offsets, SMALL_CHUNK):
             yield batch.slice(a, b - a), *tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
 
 
@@ -147,10 +167,10 @@ def _ask(size: int, buckets: int, pairs: bool, hot: np.ndarray):
             ids, learned = np.unique(np.concatenate(every)), np.sort(np.concatenate(learned))
             counts = np.searchsorted(learned, ids, side="right") - np.searchsorted(learned, ids)
             order, parts = route(ids, buckets, hot)
-            out = [(chunk, bucket, pack_sorted(ids[order[a:b]]), planes(counts[order[a:b]].astype(np.uint64))) for bucket, a, b in parts]
+            out = [(chunk, bucket, pack_sorted(ids[order[a:b]]), pack_counts(counts[order[a:b]].astype(np.uint64))) for bucket, a, b in parts]
             if not pairs:
                 top = np.sort(np.argsort(-counts, kind="stable")[:HOT_WORDS])
-                out.append((chunk, -1, pack_sorted(ids[top]), planes(counts[top].astype(np.uint64))))
+                out.append((chunk, -1, pack_sorted(ids[top]), pack_counts(counts[top].astype(np.uint64))))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], [x.split()[0] for x in REQUEST.split(", ")])
 
     return run
@@ -213,7 +233,7 @@ def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     ids = np.unique(np.concatenate(asked))
     total = np.zeros(len(ids), np.int64)
     for own, counts in zip(asked, table["counts"].to_pylist()):
-        total[np.searchsorted(ids, own)] += from_planes(counts)
+        total[np.searchsorted(ids, own)] += unpack_counts(counts)
     return ids, total, asked
 
 
@@ -229,7 +249,7 @@ def _contexts(buckets: int, hot: np.ndarray):
             at = np.searchsorted(ids, own)
             its = np.searchsorted(names, np.unique(own >> HALF))
             numbers = b"".join([planes(x[at]) for x in (customers, *samples)] + [planes(x[its]) for x in totals])
-            out.append((chunk, bucket, PAIRS, np.int64(len(own)).tobytes() + numbers, None, None, None))
+            out.append((chunk, bucket, PAIRS, squeezed(np.int64(len(own)).tobytes() + numbers), None, None, None))
         words, word = np.unique(ids & LOW32, return_inverse=True)
         parent = [np.bincount(word, x, len(words)).astype(np.int64) for x in samples]
         some = parent[0] > 0
@@ -237,7 +257,7 @@ def _contexts(buckets: int, hot: np.ndarray):
         to = words * np.uint64(buckets) >> HALF
         cuts = np.flatnonzero(np.diff(to, prepend=np.uint64(buckets))).tolist()
         for a, b in zip(cuts, [*cuts[1:], len(words)]):
-            out.append((-1, int(to[a]), PARENT, planes(words[a:b]) + b"".join(planes(x[a:b]) for x in parent), None, None, None))
+            out.append((-1, int(to[a]), PARENT, squeezed(b"".join(planes(x[a:b]) for x in (words, *parent))), None, None, None))
         for i in np.flatnonzero(np.isin(names, hot)):
             out.append((-1, bucket, HOT, None, int(names[i]), int(totals[0][i]), [int(x[i]) for x in totals[1:]]))
         return _answers(out)
@@ -249,7 +269,7 @@ def _parent(table: pa.Table) -> pa.Table:
     """Of one bucket of words: training counts, and customers and tables of the parent, for the chunks that asked."""
     bucket = table["bucket"][0].as_py()
     requests = table.filter(pa.compute.is_valid(table["ids"]))
-    sent = [columns_of(x, 1 + SAMPLES) for x in table.filter(pa.compute.is_null(table["ids"]))["numbers"].to_pylist()]
+    sent = [columns_of(unsqueezed(x), 1 + SAMPLES) for x in table.filter(pa.compute.is_null(table["ids"]))["numbers"].to_pylist()]
     sent = np.concatenate(sent, axis=1) if sent else np.zeros((1 + SAMPLES, 0), np.int64)
     seats, which = np.unique(sent[0], return_inverse=True)
     customers = [np.bincount(which, x, len(seats)).astype(np.int64) for x in sent[1:]]
@@ -267,7 +287,7 @@ def _parent(table: pa.Table) -> pa.Table:
                 hit = seats[np.minimum(at, len(seats) - 1)] == (own >> HALF).astype(np.int64)
                 at = np.where(hit, at, len(seats))
             numbers = b"".join(planes(x) for x in (counts[np.searchsorted(ids, own)], *(x[at] for x in padded)))
-            out.append((chunk, bucket, WORDS, np.int64(len(own)).tobytes() + numbers, None, None, None))
+            out.append((chunk, bucket, WORDS, squeezed(np.int64(len(own)).tobytes() + numbers), None, None, None))
     out.append((-1, bucket, TOTAL, None, known, learned, [int(x.sum()) for x in (*customers, *tables)]))
     return _answers(out)
 
@@ -321,7 +341,7 @@ def _score(size: int, buckets: int, hot: np.ndarray, shared):
             """Per bucket the places of its ids among the sorted distinct ones, its columns on them, and what follows."""
             order, asked = route(ids, buckets, special)
             for bucket, a, b in asked:
-                raw = by[kind, bucket]
+                raw = unsqueezed(by[kind, bucket])
                 if int(np.frombuffer(raw[:8], np.int64)[0]) != b - a:
                     raise RuntimeError("a chunk changed between two scans; were the input files rewritten?")
                 cut = 8 + 4 * width * (b - a)
@@ -412,7 +432,7 @@ def _hot_words(asked: DataFrame, buckets: int) -> np.ndarray:
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array((unpack_sorted(ids) >> HALF).astype(np.int64)), pa.array(from_planes(counts))], ["word", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array((unpack_sorted(ids) >> HALF).astype(np.int64)), pa.array(unpack_counts(counts))], ["word", "n"])
 
     top = asked.where("bucket = -1").select("ids", "counts").mapInArrow(unfold, "word long, n long")
     rows = top.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()
