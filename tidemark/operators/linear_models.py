@@ -41,7 +41,8 @@ def center_panel(panel: DataFrame, drivers: Sequence[str], folds: DataFrame) ->
     z-scored row mean ``z__mean``. Linear fits do not change under these shifts; they keep
     the cross-products well conditioned. Returns also the constants per series. They come from
     the rows that every fold trains on, so no holdout row moves a forecast."""
-    w = Window.partitionBy("series_id")
+    # Summed by period: the order of rows does not move the last digit.
+    w = Window.partitionBy("series_id").orderBy("period").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     common = folds.groupBy("series_id").agg(F.min("train_end").alias("_common"))
     mean = sum((F.col(d) for d in drivers[1:]), F.col(drivers[0])) / len(drivers) if drivers else F.lit(0.0)
     p = panel.join(common, "series_id").withColumn("_mean", mean).withColumn("_log", log_target(F.col("target")))
